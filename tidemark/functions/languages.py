@@ -62,4 +62,4 @@ def normalize_language(raw: Column) -> Column:
     """Canonical name; other spellings keep their own case, empty is Unknown."""
     text = F.coalesce(raw, F.lit(""))
     pairs = [F.lit(part) for pair in ALIASES.items() for part in pair]
-    return F.coalesce(F.element_at(F.create_map(*pairs), F.lower(text)), text)
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.lower(text)), text)

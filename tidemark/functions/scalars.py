@@ -98,7 +98,7 @@ def zscore(value: Column, mean: Column, std: Column) -> Column:
 
 def type_label(event_type: Column) -> Column:
     pairs = [F.lit(part) for pair in TYPE_LABELS.items() for part in pair]
-    return F.coalesce(F.element_at(F.create_map(*pairs), event_type), event_type)
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), event_type), event_type)
 
 
 def is_bot_name(name: Column) -> Column:

@@ -68,7 +68,7 @@ GOLD = {
     "repo_enriched": _schema(
         "event_date date, repo_id bigint, repo_name string, category string, "
         "category_confidence double, category_reasoning string, insight_markdown string, "
-        "model_id string, generated_at timestamp_ntz"
+        "bedrock_model_id string, generated_at timestamp_ntz"
     ),
 }
 

@@ -1,0 +1,93 @@
+"""Deliveries of a raw activity table as bronze events.
+
+The ``events`` table (event_id, ts, user_id, event_type, props) has no
+repositories or payloads, so they are derived from its counter ``k``; every
+event is delivered at least once, by the archive, live, or both.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.functions.scalars import date_parts
+
+# Activity kind -> event type.
+EVENT_TYPES = {
+    "click": "PushEvent",
+    "view": "WatchEvent",
+    "purchase": "PullRequestEvent",
+    "signup": "ForkEvent",
+    "error": "IssuesEvent",
+}
+
+# Payload text by k % 8.
+PAYLOADS = [
+    '{"action":"started","forkee":{"language":"js"}}',
+    '{"action":"opened","pull_request":{"head":{"repo":{"language":"Python"}},'
+    '"base":{"repo":{"language":"Go"}}}}',
+    '{"action":"closed","pull_request":{"head":{"repo":null},"base":{"repo":{"language":"golang"}}}}',
+    '{"repository":{"language":"c++"}}',
+    '{"repository":{"language":""}}',
+    '{"action":null}',
+    '{"action":"created","forkee":{"language":"Haskell"}}',
+    '{"release":{"author":{"repo":{"language":"TS"}}}}',
+]
+
+REPOSITORIES = 50
+
+
+def _iso(ts: Column) -> Column:
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+
+def _plus_seconds(ts: Column, seconds: Column) -> Column:
+    return F.timestamp_add("SECOND", seconds, ts)
+
+
+def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per delivery: nested bronze columns, source and arrival time."""
+    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
+    k = F.get_json_object("props", "$.k").cast("int")
+    kinds = [F.lit(part) for pair in EVENT_TYPES.items() for part in pair]
+    payloads = F.array(*[F.lit(text) for text in PAYLOADS])
+    # live delay in seconds; NULL marks the archive delivery
+    archive = F.lit(None).cast("int")
+    sends = (
+        F.when(F.col("event_id") % 30 == 0, F.array(F.lit(30), F.lit(90)))
+        .when(F.col("event_id") % 10 == 0, F.array(F.lit(30)))
+        .when(F.col("event_id") % 3 == 0, F.array(archive, F.lit(30)))
+        .otherwise(F.array(archive))
+    )
+    sent = raw.withColumns({"k": k, "delay": F.explode(sends)})
+    repo_name = F.concat(
+        F.lit("org/repo-"),
+        (F.col("k") % REPOSITORIES).cast("string"),
+        F.when(F.col("k") >= REPOSITORIES, "-v2").otherwise(""),
+    )
+    return sent.select(
+        F.col("event_id").cast("string").alias("id"),
+        F.try_element_at(F.create_map(*kinds), F.col("event_type")).alias("type"),
+        F.struct(
+            F.col("user_id").alias("id"),
+            F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("login"),
+        ).alias("actor"),
+        F.struct(
+            (F.col("k") % REPOSITORIES).cast("bigint").alias("id"), repo_name.alias("name")
+        ).alias("repo"),
+        F.get(payloads, F.col("k") % len(PAYLOADS)).alias("payload"),
+        F.lit(True).alias("public"),
+        _iso(F.col("ts")).alias("created_at"),
+        F.struct(F.lit("org").alias("login")).alias("org"),
+        F.when(F.col("delay").isNull(), "archive").otherwise("live").alias("source"),
+        _iso(_plus_seconds(F.col("ts"), F.col("delay"))).alias("ingested_at"),
+        *[column.alias(name) for name, column in date_parts(F.col("ts")).items()],
+    )
+
+
+def bronze_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deliveries(spark, sf_dir).where(F.col("source") == "archive").drop("source", "ingested_at")
+
+
+def bronze_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deliveries(spark, sf_dir).where(F.col("source") == "live").drop("source")
