@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +17,11 @@ JSON_FENCE = "```json"
 FENCE = "```"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def after_first(text: Column, mark: str) -> Column:
     """Text after the first ``mark``; NULL when it does not occur."""
     at = F.instr(text, mark)
@@ -40,9 +47,13 @@ def single_json(text: Column, opening: str) -> Column:
     Read as the only element of an array, so anything after the value makes
     it invalid.
     """
-    wrapped = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", _JSON)
-    value = F.when(F.size(wrapped) == 1, F.get(wrapped, 0))
-    return F.when(F.startswith(value, F.lit(opening)), value)
+    elements = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", _JSON)
+
+    def only_one(found: Column) -> Column:
+        first = F.get(found, 0)
+        return F.when((F.size(found) == 1) & F.startswith(first, F.lit(opening)), first)
+
+    return let(elements, only_one)
 
 
 def json_object(text: Column) -> Column:
@@ -91,7 +102,7 @@ def parse_category_response(text: Column) -> Column:
         F.lit(0.0).alias("confidence"),
         F.lit(PARSE_FAILED).alias("reasoning"),
     )
-    return F.when(members.isNotNull(), F.struct(*_answer(members))).otherwise(failed)
+    return let(members, lambda m: F.when(m.isNotNull(), F.struct(*_answer(m))).otherwise(failed))
 
 
 def parse_batch_response(text: Column) -> Column:

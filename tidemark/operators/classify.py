@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.prompts import extract_repo_section
 from tidemark.operators.documents import KEY, only_unclassified, partial_upsert
@@ -23,9 +22,10 @@ NAME_RULES = [
     ("DevTools", r"cli|sdk|lint|compiler|vscode|editor|build|plugin"),
 ]
 
-CLASSIFIED = T.StructType.fromDDL(
+CLASSIFIED = (
     "date string, repo_name string, category string, confidence double, reasoning string, failed boolean"
 )
+CLASSIFIED_COLUMNS = ["date", "repo_name", "category", "confidence", "reasoning", "failed"]
 
 Classifier = Callable[[pd.DataFrame], pd.DataFrame]
 
@@ -74,7 +74,7 @@ def classify_repos(rows: DataFrame, fn: Classifier | None = None) -> DataFrame:
         answer = keyword_category(F.col("repo_name"), F.col("excerpt"))
         return rows.select(*KEY, answer.alias("a")).select(*KEY, "a.*", F.lit(False).alias("failed"))
 
-    columns = CLASSIFIED.fieldNames()
+    columns = CLASSIFIED_COLUMNS
 
     def run(batch: pd.DataFrame) -> pd.DataFrame:
         answer = fn(batch)[["category", "confidence", "reasoning"]]

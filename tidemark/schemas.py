@@ -4,22 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_ACTOR = "struct<id:bigint,login:string,display_login:string,gravatar_id:string,url:string,avatar_url:string>"
-_REPO = "struct<id:bigint,name:string,url:string>"
-_ORG = "struct<id:bigint,login:string,gravatar_id:string,url:string,avatar_url:string>"
+_KINDS = {
+    "string": T.StringType(),
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
 
-DAY_PARTS = ["year", "month", "day"]
-HOUR_PARTS = ["year", "month", "day", "hour"]
+
+def _schema(columns: str, **structs: T.StructType) -> T.StructType:
+    """Schema of 'name kind, ...'; usable without a running session."""
+    kinds = _KINDS | structs
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, kinds[kind]) for name, kind in pairs])
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_ACTOR = _schema(
+    "id bigint, login string, display_login string, gravatar_id string, url string, avatar_url string"
+)
+_REPO = _schema("id bigint, name string, url string")
+_ORG = _schema("id bigint, login string, gravatar_id string, url string, avatar_url string")
+
+DAY_PARTS = ["year", "month", "day"]
+HOUR_PARTS = ["year", "month", "day", "hour"]
 
 
 # payload is an object in the file; read into STRING it keeps its JSON text
 BRONZE_EVENT = _schema(
-    f"id string, type string, actor {_ACTOR}, repo {_REPO}, payload string, "
-    f"public boolean, created_at string, org {_ORG}"
+    "id string, type string, actor actor, repo repo, payload string, "
+    "public boolean, created_at string, org org",
+    actor=_ACTOR,
+    repo=_REPO,
+    org=_ORG,
 )
 LIVE_EVENT = T.StructType([*BRONZE_EVENT.fields, T.StructField("_ingested_at", T.StringType())])
 
@@ -94,10 +113,13 @@ DOCUMENT = T.StructType(
 )
 
 # the only payload members any job looks at; parsed once per event
-_LANG = "struct<language:string>"
+_LANGUAGE = _schema("language string")
+_WITH_REPO = _schema("repo language", language=_LANGUAGE)
 PAYLOAD = _schema(
-    "action string, "
-    f"pull_request struct<head:struct<repo:{_LANG}>,base:struct<repo:{_LANG}>>, "
-    f"repository {_LANG}, forkee {_LANG}, "
-    f"release struct<author:struct<repo:{_LANG}>>, head_commit struct<repo:{_LANG}>"
+    "action string, pull_request pull_request, repository language, forkee language, "
+    "release release, head_commit with_repo",
+    language=_LANGUAGE,
+    with_repo=_WITH_REPO,
+    pull_request=_schema("head with_repo, base with_repo", with_repo=_WITH_REPO),
+    release=_schema("author with_repo", with_repo=_WITH_REPO),
 )

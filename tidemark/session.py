@@ -26,6 +26,9 @@ def configure(spark: SparkSession) -> SparkSession:
     }
     for key, value in settings.items():
         spark.conf.set(key, value)
+    if spark.sparkContext.master.startswith("local"):
+        # small tests: let AQE keep all cores busy on shuffles of a few MB
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
     return spark
 
 

@@ -91,3 +91,49 @@ def bronze_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deliveries(spark, sf_dir).where(F.col("source") == "live").drop("source")
+
+
+def nested_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries as a topic carries them: arrival time in ``_ingested_at``.
+
+    Archive deliveries arrive the moment they happen.
+    """
+    return (
+        deliveries(spark, sf_dir)
+        .withColumn("_ingested_at", F.coalesce("ingested_at", "created_at"))
+        .drop("ingested_at")
+    )
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``documents`` table as keyed documents with ranking-like numbers.
+
+    The text becomes the day's insight, below a heading that names the
+    document; every fifth source is already categorised.
+    """
+    raw = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    number = F.col("doc_id")
+    name = F.concat("source", F.lit("/doc-"), number.cast("string"))
+    done = F.col("source").isin("src0", "src5", "src10", "src15")
+    return raw.select(
+        F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (number % 30).cast("int")), "yyyy-MM-dd").alias("date"),
+        name.alias("repo_name"),
+        number.cast("string").alias("repo_id"),
+        F.col("n_chars").cast("int").alias("event_count"),
+        F.lit(None).cast("double").alias("acceleration_ratio"),
+        (F.col("n_chars") / 100).alias("anomaly_score"),
+        ((number % 7) / 2).alias("watch_zscore"),
+        F.lit(0.5).alias("watch_ratio"),
+        ((F.col("n_chars") % 1000) / 10).alias("rank_score"),
+        F.lit("PushEvent").alias("dominant_event_type"),
+        F.concat(
+            F.lit("### report\n\n#### 1. "), name, F.lit("\n"), "text", F.lit("\n#### 2. other/one\nmore")
+        ).alias("insight_markdown"),
+        F.lit("2024-02-01 00:00:00").cast("timestamp_ntz").alias("indexed_at"),
+        F.when(done, "Infra").alias("category"),
+        F.when(done, 0.75).alias("category_confidence"),
+        F.when(done, "seen before").alias("category_reasoning"),
+        F.when(done, F.lit("2024-02-02 00:00:00").cast("timestamp_ntz")).alias("categorized_at"),
+        F.lit(None).cast("string").alias("repo_insight_markdown"),
+        F.lit(None).cast("timestamp_ntz").alias("repo_insight_generated_at"),
+    )
