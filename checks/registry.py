@@ -147,6 +147,27 @@ def bronze_files(spark, sf_dir):
     return events.silver_events(good_archive, good_live)
 
 
+@query
+def quarantine_malformed(spark, sf_dir):
+    """Lines of which some were cut off, split into good rows and bad lines."""
+    sent = feed.nested_deliveries(spark, sf_dir).drop("source")
+    line = F.to_json(F.struct(*[c for c in sent.columns if c not in HOUR_PARTS]))
+    cut = F.col("payload") == F.lit('{"action":null}')
+    path = new_stage_path(spark, "lines")
+    (
+        sent.select(F.when(cut, F.left(line, F.lit(40))).otherwise(line).alias("value"), *DAY_PARTS)
+        .withColumn("hour", F.lit("00"))
+        .write.partitionBy(*HOUR_PARTS)
+        .option("compression", "gzip")
+        .text(path)
+    )
+    good, bad = bronze.quarantine_malformed(bronze.read_bronze_live(spark, path))
+    both = good.select(F.lit("good").alias("kind"), *DAY_PARTS).unionByName(
+        bad.select(F.lit("bad").alias("kind"), *DAY_PARTS)
+    )
+    return both.groupBy("kind", *DAY_PARTS).agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- marts --------------------------------------------------------------
 
 
@@ -456,7 +477,9 @@ def cache_repo_insight(spark, sf_dir):
     """One generated text per document, from the document's own section."""
     docs = feed.documents(spark, sf_dir)
     texts = docs.select(
-        "date", "repo_name", F.upper("insight_markdown").alias("repo_insight_markdown")
+        "date",
+        "repo_name",
+        F.concat(F.lit("cached: "), "insight_markdown").alias("repo_insight_markdown"),
     )
     made = F.lit("2024-02-03 00:00:00").cast("timestamp_ntz")
     return documents.cache_repo_insight(docs, texts, made).select(
@@ -828,7 +851,9 @@ def stream_pulse(spark, sf_dir):
     """The pulse grain kept by a stream, rolled up per minute."""
     out = new_stage_path(spark, "pulse")
     stream = source.file_source(spark, _live_files(spark, sf_dir))
-    sinks.pulse_sink(stream, f"{out}/grain", f"{out}/checkpoint", {"availableNow": True}).awaitTermination()
+    sinks.pulse_sink(
+        stream, f"{out}/grain", f"{out}/checkpoint", {"availableNow": True}, folder="day"
+    ).awaitTermination()
     return pulse.minute_activity(sinks.read_grain(spark, f"{out}/grain"))
 
 
@@ -837,7 +862,9 @@ def stream_bronze_sink(spark, sf_dir):
     """Live events landed by a stream, counted per hour folder."""
     out = new_stage_path(spark, "landed")
     stream = source.file_source(spark, _live_files(spark, sf_dir))
-    sinks.bronze_sink(stream, f"{out}/live", f"{out}/checkpoint", {"availableNow": True}).awaitTermination()
+    sinks.bronze_sink(
+        stream, f"{out}/live", f"{out}/checkpoint", {"availableNow": True}, files_per_hour=2
+    ).awaitTermination()
     landed = bronze.read_bronze_live(spark, f"{out}/live")
     return landed.groupBy(*HOUR_PARTS).agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids")

@@ -21,8 +21,10 @@ TABLE_HEAD = [
 
 
 def two_decimals(number: Column) -> Column:
-    """Fixed two decimals, halves rounded to even."""
-    return F.format_string("%.2f", F.bround(number, 2))
+    """Fixed two decimals, halves rounded to even, the sign of a tiny negative kept."""
+    rounded = F.bround(number, 2)
+    sign = F.when((rounded == 0) & (number < 0), "-").otherwise("")
+    return F.concat(sign, F.format_string("%.2f", rounded))
 
 
 def fmt(value: Column, default: str = MISSING) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import marts
 from tidemark.operators.events import silver_events
+from tidemark.schemas import DAY_PARTS
 from tidemark.session import configure, new_stage_path, path_bytes, size_shuffles
 from tidemark.sources import feed
 from tidemark.sources.tables import read_gold, read_silver, with_date_parts, write_gold, write_silver
@@ -44,9 +45,8 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def build() -> None:
         size_shuffles(spark, FEED_GROWTH * path_bytes(spark, f"{sf_dir}/events.parquet"))
-        write_silver(
-            silver_events(feed.bronze_archive(spark, sf_dir), feed.bronze_live(spark, sf_dir)), root
-        )
+        events = silver_events(feed.bronze_archive(spark, sf_dir), feed.bronze_live(spark, sf_dir))
+        write_silver(events, root, parts=DAY_PARTS)
 
     once(root, "silver", build)
     return read_silver(spark, root)
@@ -65,7 +65,7 @@ def gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             mart = with_date_parts(getattr(marts, name)(gold(spark, sf_dir, "repo_daily")))
         else:
             mart = with_date_parts(getattr(marts, name)(silver(spark, sf_dir)))
-        write_gold(mart, root, name)
+        write_gold(mart, root, name, parts=DAY_PARTS)
 
     once(root, name, build)
     return read_gold(spark, root, name)

@@ -31,7 +31,6 @@ _ORG = _schema("id bigint, login string, gravatar_id string, url string, avatar_
 DAY_PARTS = ["year", "month", "day"]
 HOUR_PARTS = ["year", "month", "day", "hour"]
 
-
 # payload is an object in the file; read into STRING it keeps its JSON text
 BRONZE_EVENT = _schema(
     "id string, type string, actor actor, repo repo, payload string, "
@@ -112,6 +111,9 @@ DOCUMENT = T.StructType(
     + DOC_INSIGHT.fields
 )
 
+# what the pulse stores per minute
+PULSE_GRAIN = _schema("minute timestamp_ntz, type string, repo_name string, actor_id bigint, n bigint")
+
 # the only payload members any job looks at; parsed once per event
 _LANGUAGE = _schema("language string")
 _WITH_REPO = _schema("repo language", language=_LANGUAGE)

@@ -50,20 +50,28 @@ def with_date_parts(mart: DataFrame, date_column: str = "event_date") -> DataFra
     )
 
 
-def write_silver(events: DataFrame, root: str, mode: str = "overwrite") -> None:
-    """All days of ``events`` at once (backfill); hours are rebalanced by size."""
+def write_silver(
+    events: DataFrame, root: str, mode: str = "overwrite", parts: list[str] = HOUR_PARTS
+) -> None:
+    """All days of ``events`` at once (backfill); folders are rebalanced by size.
+
+    With day folders only (``parts``) the hour stays a column of the files,
+    which readers do not notice; that suits feeds with tiny hours.
+    """
     (
-        events.hint("rebalance", *HOUR_PARTS)
+        events.hint("rebalance", *parts)
         .write.mode(mode)
-        .partitionBy(*HOUR_PARTS)
+        .partitionBy(*parts)
         .parquet(f"{root}/silver/events")
     )
 
 
-def write_gold(mart: DataFrame, root: str, name: str, mode: str = "overwrite") -> None:
+def write_gold(
+    mart: DataFrame, root: str, name: str, mode: str = "overwrite", parts: list[str] | None = None
+) -> None:
     """All days of a mart at once (backfill)."""
-    parts = GOLD_PARTS[name]
-    ordered = mart.select(*GOLD[name].fieldNames(), *parts)
+    parts = parts or GOLD_PARTS[name]
+    ordered = mart.select(*GOLD[name].fieldNames(), *GOLD_PARTS[name])
     (
         ordered.hint("rebalance", *parts)
         .write.mode(mode)

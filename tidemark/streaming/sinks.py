@@ -2,28 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.pulse import pulse_events, pulse_grain
-from tidemark.schemas import HOUR_PARTS
+from tidemark.schemas import HOUR_PARTS, PULSE_GRAIN
 from tidemark.sources.bronze import partition_by_created_at
+from tidemark.sources.paths import path_exists
 
 EVERY_MINUTE = {"processingTime": "60 seconds"}
 
 
 def bronze_sink(
-    events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    files_per_hour: int | None = None,
 ) -> StreamingQuery:
     """Land events as gzip JSON lines in their own hour's folder.
 
     The checkpoint and the file sink's log make the output exactly-once; a
-    stopped query resumes where it left off.
+    stopped query resumes where it left off. A minute's batch spans an hour
+    or two and is written where it was read; a replay of many hours should
+    set ``files_per_hour``, which shuffles each hour into that many files.
     """
+    placed = partition_by_created_at(events)
+    if files_per_hour is not None:
+        placed = placed.repartition(*HOUR_PARTS, F.pmod(F.xxhash64("id"), F.lit(files_per_hour)))
     return (
-        partition_by_created_at(events)
-        .writeStream.format("json")
+        placed.writeStream.format("json")
         .option("compression", "gzip")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
@@ -33,49 +44,73 @@ def bronze_sink(
     )
 
 
-def write_grain_batch(events: DataFrame, batch_id: int, path: str) -> None:
+# folder of the pulse table by how much one batch usually spans
+FOLDERS = {"hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd"}
+
+
+def write_grain_batch(events: DataFrame, batch_id: int, path: str, folder: str = "hour") -> None:
     """Store one batch's grain; writing the same batch again replaces it.
 
-    Folders are (hour, batch): a reader of the last hour skips the others,
+    Folders are (period, batch): a reader of the last hour opens no others,
     and a replayed batch overwrites exactly its own folders.
     """
     grain = pulse_grain(pulse_events(events)).where(F.col("minute").isNotNull())
     (
         grain.withColumns(
             {
-                "pulse_hour": F.date_format("minute", "yyyy-MM-dd-HH"),
+                "period": F.date_format("minute", FOLDERS[folder]),
                 "batch_id": F.lit(batch_id).cast("bigint"),
             }
         )
+        .hint("rebalance", "period")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("pulse_hour", "batch_id")
+        .partitionBy("period", "batch_id")
         .parquet(path)
     )
 
 
 def pulse_sink(
-    events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    folder: str = "hour",
 ) -> StreamingQuery:
     """Keep the pulse grain up to date.
 
     Each batch is reduced on its own and added up at read time, so there is
     no state to lose, late events still count and restarts add nothing twice.
+    Long replays may use day folders.
     """
     return (
-        events.writeStream.foreachBatch(lambda batch, n: write_grain_batch(batch, n, path))
+        events.writeStream.foreachBatch(
+            lambda batch, batch_id: write_grain_batch(batch, batch_id, path, folder)
+        )
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or EVERY_MINUTE))
         .start()
     )
 
 
-def read_grain(spark, path: str, since_hour: str | None = None) -> DataFrame:
-    """Stored grain rows, optionally from an hour ('YYYY-MM-DD-HH') on."""
-    rows = spark.read.parquet(path)
-    if since_hour is not None:
-        rows = rows.where(F.col("pulse_hour") >= since_hour)
-    return rows.drop("pulse_hour", "batch_id")
+def recent_periods(now: dt.datetime, minutes: int, folder: str = "hour") -> list[str]:
+    """Folders that can hold the last ``minutes`` minutes before ``now``."""
+    shape = {"hour": "%Y-%m-%d-%H", "day": "%Y-%m-%d"}[folder]
+    steps = range(0, minutes + 60, 60)
+    moments = [now - dt.timedelta(minutes=min(step, minutes)) for step in steps]
+    return sorted({moment.strftime(shape) for moment in moments})
+
+
+def read_grain(spark: SparkSession, path: str, periods: list[str] | None = None) -> DataFrame:
+    """Stored grain rows; with ``periods`` only those folders are listed."""
+    if periods is None:
+        rows = spark.read.parquet(path)
+    else:
+        folders = [f"{path}/period={p}" for p in periods if path_exists(spark, f"{path}/period={p}")]
+        if not folders:
+            return spark.createDataFrame([], PULSE_GRAIN)
+        rows = spark.read.option("basePath", path).parquet(*folders)
+    return rows.drop("period", "batch_id")
 
 
 def windowed_pulse(events: DataFrame, lateness: str = "2 minutes") -> DataFrame:
