@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from tidemark.schemas import BRONZE_EVENT, GOLD, GOLD_PARTS, HOUR_PARTS, LIVE_EVENT, SILVER
+from tidemark.sources.paths import path_exists
 
 
 def _columns(schema: T.StructType, parts: list[str]) -> str:
@@ -13,7 +14,8 @@ def _columns(schema: T.StructType, parts: list[str]) -> str:
     return ", ".join(columns + [f"`{p}` string" for p in parts])
 
 
-def table_definitions(root: str) -> dict[str, str]:
+def table_definitions(root: str) -> dict[str, tuple[str, str]]:
+    """(folder, definition) of every table."""
     tables = {
         "bronze_archive": ("json", BRONZE_EVENT, HOUR_PARTS, f"{root}/bronze/archive"),
         "bronze_live": ("json", LIVE_EVENT, HOUR_PARTS, f"{root}/bronze/live"),
@@ -22,19 +24,26 @@ def table_definitions(root: str) -> dict[str, str]:
     for name, schema in GOLD.items():
         tables[f"gold_{name}"] = ("parquet", schema, GOLD_PARTS[name], f"{root}/gold/{name}")
     return {
-        name: f"({_columns(schema, parts)}) USING {kind} "
-        f"PARTITIONED BY ({', '.join(parts)}) LOCATION '{location}'"
+        name: (
+            location,
+            f"({_columns(schema, parts)}) USING {kind} "
+            f"PARTITIONED BY ({', '.join(parts)}) LOCATION '{location}'",
+        )
         for name, (kind, schema, parts, location) in tables.items()
     }
 
 
 def create_tables(spark: SparkSession, root: str, database: str = "tidemark") -> list[str]:
-    """Create whatever is missing, then register the partitions on disk."""
+    """Create whatever is missing, then register the partitions on disk.
+
+    Run it again after new partitions were written.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     created = []
-    for name, body in table_definitions(root).items():
+    for name, (folder, body) in table_definitions(root).items():
         table = f"{database}.{name}"
         spark.sql(f"CREATE TABLE IF NOT EXISTS {table} {body}")
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        if path_exists(spark, folder):
+            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
         created.append(table)
     return created

@@ -4,16 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.schemas import LIVE_EVENT
+from tidemark.sources.bronze import CORRUPT
 
 TOPIC = "gh.events.live"
 
 
 def decode(records: DataFrame) -> DataFrame:
     """Kafka records to live events; values that are no objects are dropped."""
-    event = F.from_json(F.col("value").cast("string"), LIVE_EVENT).alias("event")
-    return records.select(event).where(F.col("event").isNotNull()).select("event.*")
+    schema = T.StructType([*LIVE_EVENT.fields, T.StructField(CORRUPT, T.StringType())])
+    event = F.from_json(
+        F.col("value").cast("string"), schema, {"columnNameOfCorruptRecord": CORRUPT}
+    )
+    readable = F.col("event").isNotNull() & F.col(f"event.{CORRUPT}").isNull()
+    return records.select(event.alias("event")).where(readable).select("event.*").drop(CORRUPT)
 
 
 def topic_source(
