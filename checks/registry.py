@@ -601,25 +601,24 @@ def repo_enriched(spark, sf_dir):
 
 def _answers(spark, sf_dir):
     """A classifier-like answer around each whole text, in six shapes."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    plain = F.regexp_replace("text", "[^A-Za-z0-9]+", " ")
+    docs = feed.read_table(spark, sf_dir, "documents")
 
-    def answer(category: str, confidence: str):
-        return F.concat(
-            F.lit(f'{{"category":"{category}","confidence":{confidence},"reasoning":"'), plain, F.lit('"}')
-        )
+    def opening(category: str, confidence: str) -> str:
+        return f'{{"category":"{category}","confidence":{confidence},"reasoning":"'
 
     fence = "```"
     shapes = [
-        F.concat(F.lit(f"Sure:\n{fence}json\n"), answer("AI/ML", "0.9"), F.lit(f"\n{fence}\ndone")),
-        F.concat(F.lit(f"{fence}\n"), answer("Infra", '"0.25"'), F.lit(f"\n{fence}")),
-        F.concat(F.lit("I think "), answer("Game", "0.5"), F.lit(" fits.")),
-        answer("Web", "1.7"),
-        answer("Cooking", "-3"),
-        F.concat(F.lit('{"category": "Web", "reasoning": '), plain),
+        (f"Sure:\n{fence}json\n" + opening("AI/ML", "0.9"), f'"}}\n{fence}\ndone'),
+        (f"{fence}\n" + opening("Infra", '"0.25"'), f'"}}\n{fence}'),
+        ("I think " + opening("Game", "0.5"), '"} fits.'),
+        (opening("Web", "1.7"), '"}'),
+        (opening("Cooking", "-3"), '"}'),
+        ('{"category": "Web", "reasoning": ', ""),
     ]
-    text = F.get(F.array(*shapes), (F.col("doc_id") % 6).cast("int"))
-    return docs.select("doc_id", text.alias("answer"))
+    shape = (F.col("doc_id") % len(shapes)).cast("int")
+    before, after = (F.get(F.array(*[F.lit(pair[i]) for pair in shapes]), shape) for i in (0, 1))
+    plain = F.regexp_replace("text", "[^A-Za-z0-9]+", " ")
+    return docs.select("doc_id", F.concat(before, plain, after).alias("answer"))
 
 
 @query
@@ -632,7 +631,7 @@ def parse_category_response(spark, sf_dir):
 @query
 def parse_batch_response(spark, sf_dir):
     """Three objects and a stray number around each whole text."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = feed.read_table(spark, sf_dir, "documents")
     plain = F.regexp_replace("text", "[^A-Za-z0-9]+", " ")
     body = F.concat(
         F.lit('[{"repo_name":" '),
@@ -693,7 +692,7 @@ def render_prompt(spark, sf_dir):
 
 def _names(spark, sf_dir):
     """Repository-like names, one per distinct counter value of the events."""
-    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
+    raw = feed.read_table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     stems = [
         "trading-bot",
@@ -720,7 +719,7 @@ def flag_bot_names(spark, sf_dir):
 
 @query
 def validate_date(spark, sf_dir):
-    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
+    raw = feed.read_table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     text = F.concat(
         F.lit("2024-"), F.format_string("%02d", k % 15), F.lit("-"), F.format_string("%02d", k % 34)
@@ -746,7 +745,7 @@ def type_display_names(spark, sf_dir):
 @query
 def safe_numbers(spark, sf_dir):
     """Numbers read from text that is sometimes none."""
-    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
+    raw = feed.read_table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     text = (
         F.when(k % 4 == 0, F.concat(k.cast("string"), F.lit(".0")))

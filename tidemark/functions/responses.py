@@ -92,11 +92,15 @@ def parse_category_response(text: Column) -> Column:
     A json fence is tried first, then a plain fence, then the text from the
     first brace to the last; an answer with no readable object is Other / 0.
     """
-    members = F.coalesce(
-        json_object(fenced(text, JSON_FENCE)),
-        json_object(fenced(text, FENCE)),
-        json_object(span(text, "{", "}")),
-    )
+
+    def members_of(answer: Column) -> Column:
+        return F.coalesce(
+            json_object(fenced(answer, JSON_FENCE)),
+            json_object(fenced(answer, FENCE)),
+            json_object(span(answer, "{", "}")),
+        )
+
+    members = let(text, members_of)
     failed = F.struct(
         F.lit("Other").alias("category"),
         F.lit(0.0).alias("confidence"),
@@ -112,7 +116,13 @@ def parse_batch_response(text: Column) -> Column:
     bracket. Elements that are no objects are dropped; an unreadable answer
     or one that is no list gives an empty array.
     """
-    chunk = F.coalesce(fenced(text, JSON_FENCE), fenced(text, FENCE), span(text, "[", "]"), text)
+
+    def chunk_of(answer: Column) -> Column:
+        return F.coalesce(
+            fenced(answer, JSON_FENCE), fenced(answer, FENCE), span(answer, "[", "]"), answer
+        )
+
+    chunk = let(text, chunk_of)
     elements = F.from_json(single_json(chunk, "["), "array<string>", _JSON)
     objects = F.filter(F.transform(elements, json_object), lambda members: members.isNotNull())
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.prompts import extract_repo_section
+from tidemark.functions.responses import let
 from tidemark.operators.documents import KEY, only_unclassified, partial_upsert
 
 # Name fragments of each category, first match wins.
@@ -30,26 +31,33 @@ CLASSIFIED_COLUMNS = ["date", "repo_name", "category", "confidence", "reasoning"
 Classifier = Callable[[pd.DataFrame], pd.DataFrame]
 
 
-def keyword_category(repo_name: Column, excerpt: Column) -> Column:
-    """struct<category, confidence, reasoning> from the name, then the text."""
-    answer = None
-    for source, confidence in ((repo_name, 0.9), (excerpt, 0.6)):
-        text = F.lower(F.coalesce(source, F.lit("")))
-        for category, pattern in NAME_RULES:
-            chosen = F.struct(
+def _first_rule(text: Column, confidence: float) -> Column:
+    """struct<category, confidence, reasoning> of the first rule, or NULL."""
+
+    def answer(lowered: Column) -> Column:
+        chosen = F.lit(None)
+        for category, pattern in reversed(NAME_RULES):
+            found = F.struct(
                 F.lit(category).alias("category"),
                 F.lit(confidence).alias("confidence"),
-                F.concat(F.lit("matched "), F.regexp_extract(text, f"({pattern})", 1)).alias("reasoning"),
+                F.concat(F.lit("matched "), F.regexp_extract(lowered, f"({pattern})", 1)).alias(
+                    "reasoning"
+                ),
             )
-            hit = text.rlike(pattern)
-            answer = F.when(hit, chosen) if answer is None else answer.when(hit, chosen)
-    return answer.otherwise(
-        F.struct(
-            F.lit("Other").alias("category"),
-            F.lit(0.3).alias("confidence"),
-            F.lit("no rule matched").alias("reasoning"),
-        )
+            chosen = F.when(lowered.rlike(pattern), found).otherwise(chosen)
+        return chosen
+
+    return let(F.lower(F.coalesce(text, F.lit(""))), answer)
+
+
+def keyword_category(repo_name: Column, excerpt: Column) -> Column:
+    """struct<category, confidence, reasoning> from the name, then the text."""
+    nothing = F.struct(
+        F.lit("Other").alias("category"),
+        F.lit(0.3).alias("confidence"),
+        F.lit("no rule matched").alias("reasoning"),
     )
+    return F.coalesce(_first_rule(repo_name, 0.9), _first_rule(excerpt, 0.6), nothing)
 
 
 def with_excerpts(docs: DataFrame) -> DataFrame:

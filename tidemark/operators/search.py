@@ -14,6 +14,7 @@ B = 0.75
 
 # letters, digits and '_' make up a token, everything else separates
 SEPARATORS = r"[^\p{L}\p{N}_]+"
+TOKEN = r"[\p{L}\p{N}_]+"
 
 
 def tokens(text: Column) -> Column:
@@ -22,19 +23,20 @@ def tokens(text: Column) -> Column:
     return F.filter(parts, lambda token: token != "")
 
 
-def field_tokens(docs: DataFrame) -> DataFrame:
-    """One row per document and field, with its tokens and their number."""
-    texts = docs.select(
+def field_texts(docs: DataFrame) -> DataFrame:
+    """One row per document and field, with its text."""
+    return docs.select(
         *KEY, F.expr("stack(2, 'name', repo_name, 'body', insight_markdown) AS (field, text)")
     )
-    return texts.select(*KEY, "field", tokens(F.col("text")).alias("tokens")).withColumn(
-        "dl", F.size("tokens")
-    )
 
 
 def doc_lengths(docs: DataFrame) -> DataFrame:
-    """Tokens per document and field; empty fields do not count."""
-    return field_tokens(docs).where(F.col("dl") > 0).select(*KEY, "field", "dl")
+    """Tokens per document and field; empty fields do not count.
+
+    The tokens are counted in place, without a list of them.
+    """
+    count = F.regexp_count(F.lower(F.coalesce("text", F.lit(""))), F.lit(TOKEN))
+    return field_texts(docs).select(*KEY, "field", count.alias("dl")).where(F.col("dl") > 0)
 
 
 def build_token_index(docs: DataFrame) -> DataFrame:
@@ -44,7 +46,10 @@ def build_token_index(docs: DataFrame) -> DataFrame:
     shuffle; the shuffle key includes the document, so a token present
     everywhere still spreads over all tasks.
     """
-    exploded = field_tokens(docs).select(*KEY, "field", "dl", F.explode("tokens").alias("token"))
+    split = field_texts(docs).select(*KEY, "field", tokens(F.col("text")).alias("tokens"))
+    exploded = split.select(
+        *KEY, "field", F.size("tokens").alias("dl"), F.explode("tokens").alias("token")
+    )
     return (
         exploded.groupBy("field", "token", *KEY, "dl")
         .agg(F.count(F.lit(1)).alias("tf"))

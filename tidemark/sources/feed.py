@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import date_parts
+from tidemark.session import path_bytes
 
 # Activity kind -> event type.
 EVENT_TYPES = {
@@ -37,6 +38,21 @@ PAYLOADS = [
 REPOSITORIES = 50
 
 
+# below this many bytes per core a table is a file or two, read by as many tasks
+SMALL_SPLIT_BYTES = 16 * 1024 * 1024
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; a small one is spread over the cores after the scan.
+
+    Tables that fill the cores with splits of their own are left as they are.
+    """
+    path = f"{sf_dir}/{name}.parquet"
+    rows = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if path_bytes(spark, path) < cores * SMALL_SPLIT_BYTES else rows
+
+
 def _iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
@@ -47,7 +63,7 @@ def _plus_seconds(ts: Column, seconds: Column) -> Column:
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per delivery: nested bronze columns, source and arrival time."""
-    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
+    raw = read_table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     kinds = [F.lit(part) for pair in EVENT_TYPES.items() for part in pair]
     payloads = F.array(*[F.lit(text) for text in PAYLOADS])
@@ -111,7 +127,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     The text becomes the day's insight, below a heading that names the
     document; every fifth source is already categorised.
     """
-    raw = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    raw = read_table(spark, sf_dir, "documents")
     number = F.col("doc_id")
     name = F.concat("source", F.lit("/doc-"), number.cast("string"))
     done = F.col("source").isin("src0", "src5", "src10", "src15")
