@@ -166,7 +166,7 @@ weighted AS (
 ),
 ranked AS (
   SELECT * FROM (
-    SELECT *, CAST(row_number() OVER (PARTITION BY event_date ORDER BY rank_score DESC, repo_id)
+    SELECT *, CAST(row_number() OVER (PARTITION BY event_date ORDER BY round(rank_score, 9) DESC, repo_id)
                    AS INTEGER) AS rank FROM weighted) WHERE rank <= 10
 )"""
 
@@ -392,14 +392,14 @@ LEFT JOIN anomaly n ON d.repo_id = n.repo_id AND d.event_date = n.event_date""")
     "top_acceleration": _with(MARTS, f"""
 SELECT * FROM (
   SELECT event_date, CAST(row_number() OVER (PARTITION BY event_date
-           ORDER BY acceleration_ratio DESC NULLS LAST, repo_id) AS INTEGER) AS rank,
+           ORDER BY round(a.acceleration_ratio, 9) DESC NULLS LAST, repo_id) AS INTEGER) AS rank,
          repo_id, repo_name, event_count, prev_event_count, {_round("acceleration_ratio")},
          dominant_event_type
   FROM acceleration a WHERE prev_event_count >= 5) WHERE rank <= 10"""),
     "top_anomaly": _with(MARTS, f"""
 SELECT * FROM (
   SELECT event_date, CAST(row_number() OVER (PARTITION BY event_date
-           ORDER BY a.anomaly_score DESC NULLS LAST, repo_id) AS INTEGER) AS rank,
+           ORDER BY round(a.anomaly_score, 9) DESC NULLS LAST, repo_id) AS INTEGER) AS rank,
          repo_id, repo_name, event_count,
          {_round("watch_ratio", "watch_zscore", "activity_zscore", "anomaly_score")}
   FROM anomaly a) WHERE rank <= 10"""),

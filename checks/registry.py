@@ -25,7 +25,7 @@ from tidemark.operators import (
 )
 from tidemark.plans import insights, staged
 from tidemark.schemas import DAY_PARTS, HOUR_PARTS
-from tidemark.session import configure, new_stage_path
+from tidemark.session import configure, new_stage_path, path_bytes, size_shuffles
 from tidemark.sources import bronze, feed, tables
 from tidemark.streaming import sinks, source
 
@@ -40,6 +40,7 @@ SEARCH_QUERY = "and the of"
 def query(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
+        size_shuffles(spark, staged.FEED_GROWTH * path_bytes(spark, sf_dir))
         return rounded(fn(spark, sf_dir))
 
     QUERIES[fn.__name__] = run

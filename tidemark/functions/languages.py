@@ -45,7 +45,8 @@ def parsed_payload(payload: Column) -> Column:
 
 def scalar_or_null(value: Column) -> Column:
     """NULL for a JSON object or array, which arrive here as their JSON text."""
-    return F.when(~value.rlike(r"^[\{\[]"), value)
+    nested = F.startswith(value, F.lit("{")) | F.startswith(value, F.lit("["))
+    return F.when(~nested, value)
 
 
 def raw_language(parsed: Column) -> Column:

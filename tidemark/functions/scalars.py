@@ -52,16 +52,23 @@ def utc_now() -> Column:
     return F.current_timestamp().cast("timestamp_ntz")
 
 
+def padded(number: Column, digits: int) -> Column:
+    return F.lpad(number.cast("string"), digits, "0")
+
+
 def date_parts(ts: Column) -> dict[str, Column]:
-    """Zero-padded partition values of a timestamp."""
+    """Zero-padded partition values of a date or timestamp."""
     return {
-        "year": F.date_format(ts, "yyyy"),
-        "month": F.date_format(ts, "MM"),
-        "day": F.date_format(ts, "dd"),
-        "hour": F.date_format(ts, "HH"),
+        "year": padded(F.year(ts), 4),
+        "month": padded(F.month(ts), 2),
+        "day": padded(F.day(ts), 2),
     }
 
 
+def hour_parts(ts: Column) -> dict[str, Column]:
+    return date_parts(ts) | {"hour": padded(F.hour(ts), 2)}
+
+
 def date_from_parts() -> Column:
     """event_date of a row from its year/month/day partition strings."""
     return F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))

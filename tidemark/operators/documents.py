@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import safe_double, safe_int
-from tidemark.operators.serving import top_rows
+from tidemark.operators.serving import by_score, top_rows
 from tidemark.schemas import DOC_CORE, DOCUMENT
 from tidemark.session import new_stage_path
-from tidemark.sources.paths import path_exists
 from tidemark.sources.tables import read_documents
 
 KEY = ["date", "repo_name"]
@@ -222,8 +221,9 @@ def category_trending(ranked: DataFrame, n: int | None = None) -> DataFrame:
             F.max("rank_score").alias("best_rank_score"),
         )
     group = F.concat_ws("|", "event_date", "category")
-    order = [F.desc("rank_score"), F.asc("repo_id")]
-    return top_rows(named.withColumn("_group", group), order, n, "_group").drop("_group")
+    return top_rows(
+        named.withColumn("_group", group), by_score("rank_score"), n, "_group"
+    ).drop("_group")
 
 
 def replace_documents(spark: SparkSession, root: str, documents: DataFrame) -> None:
@@ -248,9 +248,4 @@ def replace_documents(spark: SparkSession, root: str, documents: DataFrame) -> N
 def index_daily(spark: SparkSession, root: str, updates: DataFrame, date: str) -> None:
     """Upsert one date's documents; only that date's folder is read and written."""
     day = updates.where(F.col("date") == F.lit(date))
-    base = read_documents(spark, root).where(F.col("date") == F.lit(date))
-    replace_documents(spark, root, upsert_docs(base, day))
-
-
-def has_documents(spark: SparkSession, root: str) -> bool:
-    return path_exists(spark, f"{root}/documents")
+    replace_documents(spark, root, upsert_docs(read_documents(spark, root, date), day))

@@ -51,7 +51,8 @@ def _first_per_id(deliveries: DataFrame, per: list[str], preferred: str, tie: Co
         F.col("ingested_at").asc_nulls_last(),
         tie,
     ]
-    window = W.partitionBy(*per, "id").orderBy(*order)
+    # id first: it differs between rows, so the sort settles on its prefix
+    window = W.partitionBy("id", *per).orderBy(*order)
     ranked = deliveries.where(F.col("id").isNotNull()).withColumn("_rn", F.row_number().over(window))
     return ranked.where(F.col("_rn") == 1).drop("_rn")
 

@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import COUNTED_TYPES
 from tidemark.sources.paths import part_condition
 
+# distributed float sums differ in their last digits from run to run; scores
+# that agree to this many decimals are ties, and ties go by id
+SCORE_DECIMALS = 9
+
 RANK_COLUMNS = [
     "event_date",
     "repo_id",
@@ -50,6 +54,11 @@ def top_rows(rows: DataFrame, order: list[Column], n: int, per: str | None = Non
     return ranked.where(F.col("rank") <= n)
 
 
+def by_score(name: str) -> list[Column]:
+    """Highest score first, missing ones last, ties by repository id."""
+    return [F.round(name, SCORE_DECIMALS).desc_nulls_last(), F.asc("repo_id")]
+
+
 def join_daily_marts(
     daily: DataFrame, acceleration: DataFrame, anomaly: DataFrame, anomaly_columns: list[str]
 ) -> DataFrame:
@@ -90,9 +99,9 @@ def rank_top(
         & (F.coalesce("prev_event_count", F.lit(0)) >= min_previous)
         & (F.coalesce("watch_zscore", F.lit(-999.0)) > 0)
     ).withColumn("rank_score", score)
-    order = [F.desc("rank_score"), F.asc("repo_id")]
-    ranked = top_rows(kept.select(*RANK_COLUMNS), order, n, None if day else "event_date")
-    return ranked
+    return top_rows(
+        kept.select(*RANK_COLUMNS), by_score("rank_score"), n, None if day else "event_date"
+    )
 
 
 def top_acceleration(
@@ -100,8 +109,7 @@ def top_acceleration(
 ) -> DataFrame:
     """Fastest growing repositories above a noise floor."""
     rows = on_day(acceleration, day).where(F.col("prev_event_count") >= min_previous)
-    order = [F.desc_nulls_last("acceleration_ratio"), F.asc("repo_id")]
-    return top_rows(rows, order, n, None if day else "event_date").select(
+    return top_rows(rows, by_score("acceleration_ratio"), n, None if day else "event_date").select(
         "event_date",
         "rank",
         "repo_id",
@@ -115,8 +123,7 @@ def top_acceleration(
 
 def top_anomaly(anomaly: DataFrame, day: str | None = None, n: int = 10) -> DataFrame:
     """Repositories farthest from the rest of their day."""
-    order = [F.desc_nulls_last("anomaly_score"), F.asc("repo_id")]
-    return top_rows(on_day(anomaly, day), order, n, None if day else "event_date").select(
+    return top_rows(on_day(anomaly, day), by_score("anomaly_score"), n, None if day else "event_date").select(
         "event_date",
         "rank",
         "repo_id",

@@ -25,8 +25,11 @@ from tidemark.session import configure, new_stage_path
 from tidemark.sources.tables import overwrite_day, read_documents, read_gold, with_date_parts
 
 
-def _on_date(docs: DataFrame, date: str) -> DataFrame:
-    return docs.where(F.col("date") == F.lit(date))
+def _staged(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """Rows written to the shared folder and read back."""
+    path = new_stage_path(spark, name)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def daily_insights(
@@ -46,28 +49,30 @@ def daily_insights(
     """
     configure(spark)
     ranked = rank_top(
-        read_gold(spark, root, "repo_daily"),
-        read_gold(spark, root, "repo_acceleration"),
-        read_gold(spark, root, "repo_anomaly"),
+        read_gold(spark, root, "repo_daily", date),
+        read_gold(spark, root, "repo_acceleration", date),
+        read_gold(spark, root, "repo_anomaly", date),
         date,
         n,
         min_events,
         min_previous,
     )
-    merged = merge_categories(ranked, _on_date(read_documents(spark, root), date))
-    # a classifier may be costly and its answers may vary: run it once
-    missing = merged.where(F.col("category").isNull()).select(
+    # n rows from here on: the marts are joined once
+    known = _staged(spark, merge_categories(ranked, read_documents(spark, root, date)), "ranked")
+    if known.isEmpty():
+        return known
+    missing = known.where(F.col("category").isNull()).select(
         F.date_format("event_date", "yyyy-MM-dd").alias("date"),
         "repo_name",
         "dominant_event_type",
         "event_count",
         F.lit(insight_markdown).cast("string").alias("excerpt"),
     )
-    answers = classify_repos(missing, classifier).where(~F.col("failed"))
-    staged = new_stage_path(spark, "ranked")
-    fill_missing_categories(
-        merged,
-        answers.select(
+    # a classifier may be costly and its answers may vary: run it once
+    answers = _staged(spark, classify_repos(missing, classifier), "answers")
+    rows = fill_missing_categories(
+        known,
+        answers.where(~F.col("failed")).select(
             F.col("date").cast("date").alias("event_date"),
             "repo_name",
             "category",
@@ -75,11 +80,9 @@ def daily_insights(
             "reasoning",
             F.lit(0).alias("position"),
         ),
-    ).write.parquet(staged)
-    rows = spark.read.parquet(staged)
-    if not rows.isEmpty():
-        updates = documents_from_ranking(rows, F.lit(insight_markdown).cast("string"), utc_now())
-        index_daily(spark, root, updates, date)
+    )
+    updates = documents_from_ranking(rows, F.lit(insight_markdown).cast("string"), utc_now())
+    index_daily(spark, root, updates, date)
     return rows
 
 
@@ -98,7 +101,7 @@ def categorize_daily(
     counters read.
     """
     configure(spark)
-    docs = _on_date(read_documents(spark, root), date)
+    docs = read_documents(spark, root, date)
     chosen = docs
     if size is not None:
         order = [F.desc_nulls_last("rank_score"), F.asc("repo_name")]
@@ -107,9 +110,9 @@ def categorize_daily(
     if total == 0:
         return {"date": date, "total": 0, "classified": 0, "skipped": 0, "errors": 0}
 
-    staged = new_stage_path(spark, "classified")
-    classify_repos(unclassified_rows(chosen, force), classifier).write.parquet(staged)
-    answers = spark.read.parquet(staged)
+    answers = _staged(
+        spark, classify_repos(unclassified_rows(chosen, force), classifier), "classified"
+    )
     counted = answers.agg(
         F.count_if(~F.col("failed")).alias("classified"), F.count_if(F.col("failed")).alias("errors")
     ).first()
@@ -144,5 +147,5 @@ def write_repo_enriched(
     spark: SparkSession, root: str, date: str, model_id: str | None = None
 ) -> None:
     """Fill the enriched table's day from the document table."""
-    rows = repo_enriched(_on_date(read_documents(spark, root), date), model_id)
+    rows = repo_enriched(read_documents(spark, root, date), model_id)
     overwrite_day(with_date_parts(rows), f"{root}/gold/repo_enriched", date)

@@ -7,7 +7,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+# beyond this the bookkeeping of a shuffle costs more than larger partitions do
+MOST_PARTITIONS = 100_000
 
 _local_dirs: dict[str, str] = {}
 
@@ -39,6 +41,7 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     the largest shuffle of the job; small ones are coalesced afterwards.
     """
     wanted = max(spark.sparkContext.defaultParallelism, -(-input_bytes // TARGET_PARTITION_BYTES))
+    wanted = min(wanted, MOST_PARTITIONS)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
     return wanted
 

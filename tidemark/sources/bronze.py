@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.scalars import date_parts, utc_now, utc_timestamp
+from tidemark.functions.scalars import hour_parts, utc_now, utc_timestamp
 from tidemark.schemas import BRONZE_EVENT, HOUR_PARTS, LIVE_EVENT
-from tidemark.sources.paths import hour_path, part_condition, path_has_data
+from tidemark.sources.paths import day_folder, hour_path, part_condition, path_has_data
 
 CORRUPT = "_corrupt_record"
 
@@ -16,11 +16,15 @@ CORRUPT = "_corrupt_record"
 def _read_lines(spark: SparkSession, root: str, schema: T.StructType, day, hour) -> DataFrame:
     parts = [T.StructField(name, T.StringType()) for name in HOUR_PARTS]
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType()), *parts])
+    folder = day_folder(spark, root, day)
+    if folder is None:
+        return spark.createDataFrame([], full)
     lines = (
         spark.read.schema(full)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(root)
+        .option("basePath", root)
+        .json(folder)
     )
     return lines if day is None else lines.where(part_condition(day, hour))
 
@@ -63,7 +67,7 @@ def partition_by_created_at(events: DataFrame, arrived_at: str | None = "_ingest
     """Add year/month/day/hour of the event's own (UTC) time."""
     arrival = F.col(arrived_at) if arrived_at else None
     placed = events.withColumn("_at", partition_time(F.col("created_at"), arrival))
-    return placed.withColumns(date_parts(F.col("_at"))).drop("_at")
+    return placed.withColumns(hour_parts(F.col("_at"))).drop("_at")
 
 
 def write_jsonl_gz(events: DataFrame, path: str, partitioned: bool = True, mode: str = "append") -> None:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import date_parts
+from tidemark.functions.scalars import hour_parts
 from tidemark.session import path_bytes
 
 # Activity kind -> event type.
@@ -97,7 +97,7 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit("org").alias("login")).alias("org"),
         F.when(F.col("delay").isNull(), "archive").otherwise("live").alias("source"),
         _iso(_plus_seconds(F.col("ts"), F.col("delay"))).alias("ingested_at"),
-        *[column.alias(name) for name, column in date_parts(F.col("ts")).items()],
+        *[column.alias(name) for name, column in hour_parts(F.col("ts")).items()],
     )
 
 

@@ -37,6 +37,18 @@ def part_condition(day: str, hour: int | None = None, hour_column: str = "hour")
     return condition
 
 
+def day_folder(spark: SparkSession, root: str, day: str | None) -> str | None:
+    """What to read for a day: its own folder, so no other day is listed.
+
+    None when there is nothing. A folder written by a streaming file sink is
+    read from its root, because only its log tells which files count.
+    """
+    if day is None or path_exists(spark, f"{root}/_spark_metadata"):
+        return root if path_exists(spark, root) else None
+    folder = day_path(root, day)
+    return folder if path_exists(spark, folder) else None
+
+
 def _fs(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path

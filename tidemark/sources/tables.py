@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.scalars import date_parts
 from tidemark.schemas import DAY_PARTS, DOCUMENT, GOLD, GOLD_PARTS, HOUR_PARTS, SILVER
 from tidemark.sources.paths import (
     child_names,
+    day_folder,
     day_path,
     delete_path,
     hour_path,
@@ -19,35 +21,31 @@ from tidemark.sources.paths import (
 )
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType, parts: list[str]) -> DataFrame:
+def _read(
+    spark: SparkSession, path: str, schema: T.StructType, parts: list[str], day: str | None
+) -> DataFrame:
     full = T.StructType([*schema.fields, *[T.StructField(p, T.StringType()) for p in parts]])
-    if not path_exists(spark, path):
+    folder = day_folder(spark, path, day)
+    if folder is None:
         return spark.createDataFrame([], full)
-    return spark.read.schema(full).parquet(path)
+    return spark.read.schema(full).option("basePath", path).parquet(folder)
 
 
 def read_silver(
     spark: SparkSession, root: str, day: str | None = None, hour: int | None = None
 ) -> DataFrame:
-    events = _read(spark, f"{root}/silver/events", SILVER, HOUR_PARTS)
+    events = _read(spark, f"{root}/silver/events", SILVER, HOUR_PARTS, day)
     return events if day is None else events.where(part_condition(day, hour))
 
 
 def read_gold(spark: SparkSession, root: str, name: str, day: str | None = None) -> DataFrame:
-    mart = _read(spark, f"{root}/gold/{name}", GOLD[name], GOLD_PARTS[name])
+    mart = _read(spark, f"{root}/gold/{name}", GOLD[name], GOLD_PARTS[name], day)
     return mart if day is None else mart.where(part_condition(day))
 
 
 def with_date_parts(mart: DataFrame, date_column: str = "event_date") -> DataFrame:
     """Add the year/month/day partition strings of a mart's date."""
-    date = F.col(date_column)
-    return mart.withColumns(
-        {
-            "year": F.date_format(date, "yyyy"),
-            "month": F.date_format(date, "MM"),
-            "day": F.date_format(date, "dd"),
-        }
-    )
+    return mart.withColumns(date_parts(F.col(date_column)))
 
 
 def write_silver(
@@ -104,13 +102,15 @@ def overwrite_hour(
     body.write.mode("overwrite").parquet(hour_path(table_path, day, hour, hour_column))
 
 
-def read_documents(spark: SparkSession, root: str) -> DataFrame:
+def read_documents(spark: SparkSession, root: str, date: str | None = None) -> DataFrame:
     path = f"{root}/documents"
-    if not path_exists(spark, path):
+    folder = path if date is None else f"{path}/date={date}"
+    if not path_exists(spark, folder):
         return spark.createDataFrame([], DOCUMENT)
     fields = [f for f in DOCUMENT.fields if f.name != "date"]
     schema = T.StructType([*fields, T.StructField("date", T.StringType())])
-    return spark.read.schema(schema).parquet(path).select(*DOCUMENT.fieldNames())
+    stored = spark.read.schema(schema).option("basePath", path).parquet(folder)
+    return stored.select(*DOCUMENT.fieldNames())
 
 
 def export_csv(rows: DataFrame, path: str) -> None:
