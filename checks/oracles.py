@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidemark.operators.classify import NAME_RULES
+
 # --- shared parts, each a chain of common table expressions ---------------
 
 DELIVERIES = """
@@ -329,6 +331,30 @@ def _section() -> str:
     return f"CASE WHEN starts_with({part}, '#') THEN {part} ELSE '#### ' || {part} END"
 
 
+def _rules(kind: str) -> str:
+    """CASE over the name rules, name before text."""
+    whens = []
+    for text, confidence in (("lower(repo_name)", "0.9"), ("lower(section)", "0.6")):
+        for category, pattern in NAME_RULES:
+            value = {
+                "category": f"'{category}'",
+                "confidence": f"{confidence}::DOUBLE",
+                "reasoning": f"'matched ' || regexp_extract({text}, '({pattern})', 1)",
+            }[kind]
+            whens.append(f"WHEN regexp_matches({text}, '{pattern}') THEN {value}")
+    default = {"category": "'Other'", "confidence": "0.3::DOUBLE", "reasoning": "'no rule matched'"}
+    return f"CASE {' '.join(whens)} ELSE {default[kind]} END AS {kind}"
+
+
+RULED = DOCUMENTS + f""",
+sectioned AS (
+  SELECT *, left(regexp_replace({_section()}, '^\\s+|\\s+$', '', 'g'), 800) AS section FROM docs
+),
+ruled AS (
+  SELECT *, {_rules("category")}, {_rules("confidence")}, {_rules("reasoning")} FROM sectioned
+)"""
+
+
 def _fmt(column: str) -> str:
     return f"CASE WHEN {column} IS NULL THEN '—' ELSE printf('%.2f', {column}) END"
 
@@ -362,6 +388,20 @@ SELECT id, source, created_at, year, month, day, hour FROM deliveries"""),
     "quarantine_malformed": _with(DELIVERIES, """
 SELECT CASE WHEN shape = 5 THEN 'bad' ELSE 'good' END AS kind, year, month, day, count(*) AS n
 FROM deliveries GROUP BY 1, year, month, day"""),
+    "append_archive_hour": _with(DELIVERIES, """
+SELECT type, '15' AS day, '03' AS hour, count(*) AS n, count(DISTINCT repo_id) AS repos,
+       true AS landed_first, false AS landed_again
+FROM deliveries WHERE source = 'archive' GROUP BY type"""),
+    "overwrite_day": _with(REPO_DAILY, """
+SELECT event_date, repo_id,
+       CASE WHEN event_date = DATE '2024-01-15' THEN event_count ELSE event_count * 2 END AS event_count,
+       strftime(event_date, '%Y') AS year, strftime(event_date, '%m') AS month,
+       strftime(event_date, '%d') AS day FROM repo_daily"""),
+    "overwrite_hour": _with(RECENT, """
+SELECT event_date, hour, repo_id,
+       CASE WHEN event_date = DATE '2024-01-15' AND hour >= 12 THEN event_count
+            ELSE event_count * 2 END AS event_count,
+       CASE WHEN hour < 12 THEN '00' ELSE '12' END AS hour_p FROM recent"""),
     "repo_daily": _with(REPO_DAILY, "SELECT * FROM repo_daily"),
     "actor_daily": _with(ACTOR_DAILY, "SELECT * FROM actor_daily"),
     "repo_acceleration": _with(MARTS, f"""
@@ -694,6 +734,23 @@ SELECT event_id,
        CASE k % 4 WHEN 0 THEN k WHEN 3 THEN CAST(trunc(value) AS INTEGER) END AS as_int,
        CASE k % 4 WHEN 0 THEN CAST(k AS DOUBLE) WHEN 3 THEN round(value, 2) END AS as_double
 FROM ks""",
+    "classify_by_rules": _with(RULED, """
+SELECT date, repo_name, category, confidence, reasoning, false AS failed FROM ruled"""),
+    "apply_categories": _with(RULED, """
+SELECT date, repo_name, event_count, CASE WHEN done THEN 'Infra' ELSE category END AS category,
+       CASE WHEN done THEN 0.75::DOUBLE ELSE confidence END AS category_confidence,
+       CASE WHEN done THEN TIMESTAMP '2024-02-02 00:00:00'
+            ELSE TIMESTAMP '2024-02-04 00:00:00' END AS categorized_at FROM ruled"""),
+    "stamp_and_key": _with(DELIVERIES, """
+SELECT CAST(repo_id AS VARCHAR) AS key, count(*) AS records, count(DISTINCT id) AS ids,
+       count(*) AS stamped FROM deliveries GROUP BY repo_id"""),
+    "stream_windowed_pulse": _with(GRAIN, """,
+live AS (SELECT * FROM arrivals WHERE source = 'live')
+SELECT minute, count(*) AS events,
+       CAST(sum(CASE WHEN type = 'PushEvent' THEN 1 ELSE 0 END) AS BIGINT) AS push_count,
+       CAST(sum(CASE WHEN type = 'WatchEvent' THEN 1 ELSE 0 END) AS BIGINT) AS watch_count
+FROM live WHERE minute + INTERVAL 1 MINUTE <= (SELECT max(arrived) FROM live) - INTERVAL 2 MINUTE
+GROUP BY minute"""),
     "minute_activity": _with(GRAIN, """
 SELECT minute, count(*) AS events, count(DISTINCT repo_name) AS unique_repos,
        count(DISTINCT actor_id) AS unique_actors FROM arrivals GROUP BY minute"""),

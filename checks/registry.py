@@ -169,6 +169,23 @@ def quarantine_malformed(spark, sf_dir):
     return both.groupBy("kind", *DAY_PARTS).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def append_archive_hour(spark, sf_dir):
+    """All archive deliveries as one publisher file, landed once and once again."""
+    base = new_stage_path(spark, "publisher")
+    archive = feed.bronze_archive(spark, sf_dir).drop(*HOUR_PARTS)
+    archive.select(F.to_json(F.struct("*")).alias("value")).write.text(f"{base}/file")
+    first = bronze.append_archive_hour(spark, f"{base}/file", f"{base}/archive", "2024-01-15", 3)
+    again = bronze.append_archive_hour(spark, f"{base}/file", f"{base}/archive", "2024-01-15", 3)
+    landed = bronze.read_bronze_archive(spark, f"{base}/archive", "2024-01-15", 3)
+    return landed.groupBy("type", "day", "hour").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("repo.id").alias("repos"),
+        F.lit(first).alias("landed_first"),
+        F.lit(again).alias("landed_again"),
+    )
+
+
 # --- marts --------------------------------------------------------------
 
 
@@ -224,6 +241,35 @@ def read_gold(spark, sf_dir):
     )
 
 
+@query
+def overwrite_day(spark, sf_dir):
+    """A stored mart with doubled counts, of which one day is replaced twice."""
+    (daily,) = _gold(spark, sf_dir, "repo_daily")
+    path = new_stage_path(spark, "overwritten")
+    doubled = daily.withColumn("event_count", F.col("event_count") * 2)
+    doubled.hint("rebalance", *DAY_PARTS).write.partitionBy(*DAY_PARTS).parquet(path)
+    for _ in range(2):
+        tables.overwrite_day(daily, path, "2024-01-15")
+    stored = spark.read.parquet(path)
+    return stored.select("event_date", "repo_id", "event_count", *DAY_PARTS)
+
+
+@query
+def overwrite_hour(spark, sf_dir):
+    """Hours of a day replaced one at a time beside days that stay."""
+    (recent,) = _gold(spark, sf_dir, "hourly_recent")
+    path = new_stage_path(spark, "overwritten")
+    parts = [*DAY_PARTS, "hour_p"]
+    doubled = recent.withColumn("event_count", F.col("event_count") * 2).withColumn(
+        "hour_p", F.when(F.col("hour") < 12, "00").otherwise("12")
+    )
+    doubled.hint("rebalance", *parts).write.partitionBy(*parts).parquet(path)
+    halves = recent.withColumn("hour_p", F.when(F.col("hour") < 12, "00").otherwise("12"))
+    tables.overwrite_hour(halves, path, "2024-01-15", 12, "hour_p")
+    stored = spark.read.parquet(path)
+    return stored.select("event_date", "hour", "repo_id", "event_count", "hour_p")
+
+
 # --- serving ------------------------------------------------------------
 
 
@@ -786,9 +832,32 @@ def classify_repos(spark, sf_dir):
     return classify.classify_repos(rows, by_length)
 
 
+@query
+def apply_categories(spark, sf_dir):
+    """Rule categories written onto every document that had none."""
+    docs = feed.documents(spark, sf_dir)
+    answers = classify.classify_repos(classify.unclassified_rows(docs))
+    at = F.lit("2024-02-04 00:00:00").cast("timestamp_ntz")
+    return classify.apply_categories(docs, answers, at).select(
+        "date", "repo_name", "event_count", "category", "category_confidence", "categorized_at"
+    )
+
+
 # --- pulse --------------------------------------------------------------
 
 
+@query
+def stamp_and_key(spark, sf_dir):
+    """Keyed topic records of all deliveries, counted per key."""
+    records = source.stamp_and_key(feed.nested_deliveries(spark, sf_dir).drop("_ingested_at"))
+    event = source.decode(records.withColumn("value", F.col("value").cast("binary")))
+    keyed = records.groupBy("key").agg(F.count(F.lit(1)).alias("records"))
+    decoded = event.groupBy(F.col("repo.id").cast("string").alias("key")).agg(
+        F.countDistinct("id").alias("ids"), F.count("_ingested_at").alias("stamped")
+    )
+    return keyed.join(decoded, "key")
+
+
 def _grain(spark, sf_dir):
     return pulse.pulse_grain(pulse.pulse_events(feed.nested_deliveries(spark, sf_dir)))
 
@@ -869,3 +938,20 @@ def stream_bronze_sink(spark, sf_dir):
     return landed.groupBy(*HOUR_PARTS).agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids")
     )
+
+
+@query
+def stream_windowed_pulse(spark, sf_dir):
+    """Minutes a stateful stream has closed, counts only (distincts are sketched)."""
+    out = new_stage_path(spark, "windowed")
+    minutes = sinks.windowed_pulse(source.file_source(spark, _live_files(spark, sf_dir)))
+    (
+        minutes.writeStream.format("parquet")
+        .option("path", f"{out}/minutes")
+        .option("checkpointLocation", f"{out}/checkpoint")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return spark.read.parquet(f"{out}/minutes").select("minute", "events", "push_count", "watch_count")
