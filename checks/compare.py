@@ -25,6 +25,17 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+KINDS = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def canonical(columns: list[str], rows: list) -> tuple[list[str], list[str]]:
     """Column names in order, and the rows as sorted text."""
     order = sorted(range(len(columns)), key=lambda i: columns[i])
@@ -35,15 +46,19 @@ def differences(spark: SparkSession, con, sf_dir: str, name: str) -> str | None:
     """None when the query and its SQL agree, else the first difference."""
     result = QUERIES[name](spark, sf_dir)
     mine = canonical(result.columns, [tuple(r) for r in result.collect()])
-    cursor = con.execute(ORACLES[name])
-    theirs = canonical([d[0] for d in cursor.description], cursor.fetchall())
+    wanted = con.sql(ORACLES[name])
+    kinds = dict(zip(wanted.columns, map(str, wanted.types)))
+    theirs = canonical(wanted.columns, wanted.fetchall())
     if mine[0] != theirs[0]:
         return f"columns {mine[0]} != {theirs[0]}"
+    other = {c: (k, kinds[c]) for c, k in result.dtypes if KINDS.get(k) != kinds[c]}
+    if other:
+        return f"types {other}"
     if len(mine[1]) != len(theirs[1]):
         return f"rows {len(mine[1])} != {len(theirs[1])}"
-    for ours, wanted in zip(mine[1], theirs[1]):
-        if ours != wanted:
-            return f"\n  spark  {ours[:600]}\n  duckdb {wanted[:600]}"
+    for ours, expected in zip(mine[1], theirs[1]):
+        if ours != expected:
+            return f"\n  spark  {ours[:600]}\n  duckdb {expected[:600]}"
     return None
 
 

@@ -37,10 +37,10 @@ deliveries AS (
            ELSE '{"release":{"author":{"repo":{"language":"TS"}}}}' END AS payload,
          true AS public,
          ts AS created_ts,
-         strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS created_at,
+         replace(CAST(ts AS VARCHAR), ' ', 'T') || 'Z' AS created_at,
          'org' AS org_login,
          CASE WHEN delay IS NULL THEN 'archive' ELSE 'live' END AS source,
-         strftime(ts + to_seconds(delay), '%Y-%m-%dT%H:%M:%S.%fZ') AS ingested_at,
+         replace(CAST(ts + to_seconds(delay) AS VARCHAR), ' ', 'T') || 'Z' AS ingested_at,
          ts + to_seconds(coalesce(delay, 0)) AS arrived,
          strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month,
          strftime(ts, '%d') AS day, strftime(ts, '%H') AS hour
@@ -52,7 +52,7 @@ live_first AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (
         PARTITION BY year, month, day, id
-        ORDER BY CASE source WHEN 'live' THEN 0 ELSE 1 END, ingested_at NULLS LAST) AS rn
+        ORDER BY CASE source WHEN 'live' THEN 0 ELSE 1 END, arrived) AS rn
     FROM deliveries) WHERE rn = 1
 ),
 silver AS (
@@ -73,7 +73,7 @@ archive_first AS (
   SELECT *, CAST(created_ts AS DATE) AS event_date, CAST(hour AS INTEGER) AS hour_no FROM (
     SELECT *, row_number() OVER (
         PARTITION BY year, month, day, hour, id
-        ORDER BY CASE source WHEN 'archive' THEN 0 ELSE 1 END, ingested_at NULLS LAST) AS rn
+        ORDER BY CASE source WHEN 'archive' THEN 0 ELSE 1 END, arrived) AS rn
     FROM deliveries) WHERE rn = 1
 )"""
 
@@ -751,6 +751,9 @@ SELECT minute, count(*) AS events,
        CAST(sum(CASE WHEN type = 'WatchEvent' THEN 1 ELSE 0 END) AS BIGINT) AS watch_count
 FROM live WHERE minute + INTERVAL 1 MINUTE <= (SELECT max(arrived) FROM live) - INTERVAL 2 MINUTE
 GROUP BY minute"""),
+    "pulse_grain": _with(GRAIN, """
+SELECT minute, type, repo_name, actor_id, count(*) AS n FROM arrivals
+GROUP BY minute, type, repo_name, actor_id"""),
     "minute_activity": _with(GRAIN, """
 SELECT minute, count(*) AS events, count(DISTINCT repo_name) AS unique_repos,
        count(DISTINCT actor_id) AS unique_actors FROM arrivals GROUP BY minute"""),

@@ -24,7 +24,7 @@ from tidemark.operators import (
     velocity,
 )
 from tidemark.plans import insights, staged
-from tidemark.schemas import DAY_PARTS, HOUR_PARTS
+from tidemark.schemas import DAY_PARTS, HOUR_PARTS, PULSE_GRAIN
 from tidemark.session import configure, new_stage_path, path_bytes, size_shuffles
 from tidemark.sources import bronze, feed, tables
 from tidemark.streaming import sinks, source
@@ -859,6 +859,19 @@ def stamp_and_key(spark, sf_dir):
 
 
 def _grain(spark, sf_dir):
+    """The pulse grain as a stored table, like the stream leaves it."""
+    root = staged.root_of(spark, sf_dir)
+
+    def build() -> None:
+        grain = pulse.pulse_grain(pulse.pulse_events(feed.nested_deliveries(spark, sf_dir)))
+        grain.write.parquet(f"{root}/grain")
+
+    staged.once(root, "grain", build)
+    return spark.read.schema(PULSE_GRAIN).parquet(f"{root}/grain")
+
+
+@query
+def pulse_grain(spark, sf_dir):
     return pulse.pulse_grain(pulse.pulse_events(feed.nested_deliveries(spark, sf_dir)))
 
 

@@ -144,8 +144,7 @@ def docs_by_date(docs: DataFrame, date: str | None = None, size: int = 10) -> Da
     rows = docs if date is None else docs.where(F.col("date") == F.lit(date))
     totals = rows.groupBy("date").agg(F.count(F.lit(1)).alias("total"))
     order = [F.desc_nulls_last("rank_score"), F.asc("repo_name")]
-    # one total per calendar date, so the small side is bounded
-    return top_rows(rows, order, size, "date").join(F.broadcast(totals), "date")
+    return top_rows(rows, order, size, "date").join(totals, "date")
 
 
 def indexed_dates(docs: DataFrame, size: int = 30) -> DataFrame:

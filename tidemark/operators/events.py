@@ -48,7 +48,7 @@ def _first_per_id(deliveries: DataFrame, per: list[str], preferred: str, tie: Co
     # shuffle (WindowGroupLimit), so an id with very many copies stays cheap
     order = [
         F.when(F.col("source") == preferred, 0).otherwise(1),
-        F.col("ingested_at").asc_nulls_last(),
+        utc_timestamp(F.col("ingested_at")).asc_nulls_last(),
         tie,
     ]
     # id first: it differs between rows, so the sort settles on its prefix

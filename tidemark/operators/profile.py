@@ -69,11 +69,12 @@ def repo_profile_timeline(
     """24 hours per repository name and day, gaps filled with 0.
 
     A name carried by two ids in one hour is summed; its type is the one of
-    the busier id.
+    the busier id. Events without a name belong to no profile.
     """
     keys = ["event_date", "repo_name"]
     per_hour = (
         _named(on_day(hourly, day), repo_name)
+        .where(F.col("repo_name").isNotNull())
         .groupBy(*keys, "hour")
         .agg(
             F.sum("event_count").alias("event_count"),

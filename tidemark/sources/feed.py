@@ -54,7 +54,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _iso(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return F.concat(F.replace(ts.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
 
 
 def _plus_seconds(ts: Column, seconds: Column) -> Column:
