@@ -50,7 +50,10 @@ def test_silver_then_gold(spark, lake):
     assert rows_of(accel, "repo_id", "event_count", "prev_event_count", "acceleration_ratio") == [
         (1, 6, 2, 3.0), (2, 1, 0, None),
     ]
-    assert spark.read.parquet(f"{lake}/quarantine/lines").count() == 2
+    set_aside = spark.read.parquet(f"{lake}/quarantine")
+    assert rows_of(set_aside, "source", "reject_reason", "_corrupt_record", "hour") == [
+        ("archive", "malformed line", "{broken", "11"), ("archive", "no id", None, "11"),
+    ]
 
 
 def test_previous_day_falls_back_to_silver(spark, lake):
@@ -65,9 +68,11 @@ def test_running_a_day_again_changes_nothing(spark, lake):
     build_silver(spark, lake, D15)
     build_gold(spark, lake, D15)
     first = everything(spark, lake)
+    land(lake, "archive", D15, 11, [event("late", "WatchEvent", created=f"{D15}T11:00:00Z")])
     build_silver(spark, lake, D15)
     build_gold(spark, lake, D15)
     assert everything(spark, lake) == first
+    assert child_names(spark, f"{lake}/quarantine/year=2024/month=01") == []
 
 
 def test_a_rerun_with_fewer_hours_leaves_no_stale_hour(spark, lake):

@@ -48,7 +48,7 @@ def test_rows_without_id_or_with_unreadable_time_are_set_aside(spark):
     good = events.silver_events(archive, live)
     assert rows_of(good, "event_id") == [("none",), ("ok",)]
     bad = events.rejected_deliveries(archive, live)
-    assert rows_of(bad.groupBy("reason").count()) == [("no id", 2), ("unreadable created_at", 1)]
+    assert rows_of(bad.groupBy("reject_reason").count()) == [("no id", 2), ("unreadable created_at", 1)]
 
 
 def test_created_at_becomes_utc(spark):

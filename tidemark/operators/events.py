@@ -13,13 +13,32 @@ from tidemark.functions.languages import (
     scalar_or_null,
 )
 from tidemark.functions.scalars import utc_timestamp
-from tidemark.schemas import HOUR_PARTS, SILVER
+from tidemark.schemas import CORRUPT, HOUR_PARTS, SILVER
 
 ARCHIVE, LIVE = "archive", "live"
+REASON = "reject_reason"
+
+
+def has_readable_time(created_at: Column) -> Column:
+    """A missing time is allowed; text that is no time is not."""
+    return created_at.isNull() | utc_timestamp(created_at).isNotNull()
+
+
+def with_reject_reason(lines: DataFrame) -> DataFrame:
+    """Why a delivery cannot enter silver; NULL when it can."""
+    reason = F.when(F.col("id").isNull(), "no id").when(
+        ~has_readable_time(F.col("created_at")), "unreadable created_at"
+    )
+    if CORRUPT in lines.columns:
+        reason = F.when(F.col(CORRUPT).isNotNull(), "malformed line").otherwise(reason)
+    return lines.withColumn(REASON, reason)
 
 
 def flatten_event(bronze: DataFrame, source: str) -> DataFrame:
-    """Nested bronze event to flat columns, tagged with where it came from."""
+    """Nested bronze event to flat columns, tagged with where it came from.
+
+    The text of a malformed line and the reject reason stay when present.
+    """
     arrived = F.col("ingested_at") if "ingested_at" in bronze.columns else F.lit(None).cast("string")
     return bronze.select(
         "id",
@@ -35,6 +54,7 @@ def flatten_event(bronze: DataFrame, source: str) -> DataFrame:
         F.lit(source).alias("source"),
         arrived.alias("ingested_at"),
         *HOUR_PARTS,
+        *[name for name in (CORRUPT, REASON) if name in bronze.columns],
     )
 
 
@@ -73,11 +93,6 @@ def dedup_archive_first(deliveries: DataFrame) -> DataFrame:
     return _first_per_id(deliveries, HOUR_PARTS, ARCHIVE, tie)
 
 
-def has_readable_time(created_at: Column) -> Column:
-    """A missing time is allowed; text that is no time is not."""
-    return created_at.isNull() | utc_timestamp(created_at).isNotNull()
-
-
 def normalize_events(deduped: DataFrame) -> DataFrame:
     """Typed silver columns: timestamp, payload action, canonical language.
 
@@ -110,8 +125,6 @@ def silver_events(archive: DataFrame, live: DataFrame) -> DataFrame:
 
 
 def rejected_deliveries(archive: DataFrame, live: DataFrame) -> DataFrame:
-    """Deliveries that cannot enter silver: no id, or unreadable time."""
-    rows = union_sources(archive, live)
-    return rows.where(F.col("id").isNull() | ~has_readable_time(F.col("created_at"))).withColumn(
-        "reason", F.when(F.col("id").isNull(), "no id").otherwise("unreadable created_at")
-    )
+    """Deliveries that cannot enter silver, with the reason."""
+    both = union_sources(with_reject_reason(archive), with_reject_reason(live))
+    return both.where(F.col(REASON).isNotNull())

@@ -4,14 +4,21 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import marts, quality
-from tidemark.operators.events import rejected_deliveries, silver_events
+from tidemark.operators.events import (
+    REASON,
+    dedup_live_first,
+    normalize_events,
+    union_sources,
+    with_reject_reason,
+)
+from tidemark.schemas import CORRUPT
 from tidemark.session import configure, path_bytes, size_shuffles
-from tidemark.sources.bronze import quarantine_malformed, read_bronze_archive, read_bronze_live
-from tidemark.sources.paths import day_path, previous_day
+from tidemark.sources.bronze import read_bronze_archive, read_bronze_live
+from tidemark.sources.paths import day_path, delete_path, previous_day
 from tidemark.sources.tables import (
     overwrite_day,
     read_gold,
@@ -24,28 +31,33 @@ from tidemark.sources.tables import (
 GZIP_GROWTH = 8
 
 
-def _bronze(spark: SparkSession, root: str, day: str):
-    archive, bad_archive = quarantine_malformed(read_bronze_archive(spark, f"{root}/bronze/archive", day))
-    live, bad_live = quarantine_malformed(read_bronze_live(spark, f"{root}/bronze/live", day))
-    return archive, live, bad_archive.unionByName(bad_live)
-
-
 def build_silver(spark: SparkSession, root: str, day: str) -> dict[str, int]:
     """Rebuild one silver day; nothing is replaced when bronze is empty.
 
-    Unreadable lines and deliveries that cannot be typed go to
-    quarantine/, so no input row disappears without a trace.
+    Unreadable lines and deliveries that cannot be typed go to quarantine/,
+    so no input row disappears without a trace. They are counted while silver
+    is written, and bronze is only read again when there are any.
     """
     configure(spark)
     size = sum(path_bytes(spark, day_path(f"{root}/bronze/{s}", day)) for s in ("archive", "live"))
     size_shuffles(spark, size * GZIP_GROWTH)
-    archive, live, malformed = _bronze(spark, root, day)
-    if archive.isEmpty() and live.isEmpty():
+    archive = with_reject_reason(read_bronze_archive(spark, f"{root}/bronze/archive", day))
+    live = with_reject_reason(read_bronze_live(spark, f"{root}/bronze/live", day))
+    deliveries = union_sources(archive, live)
+    is_good = F.col(REASON).isNull()
+    if deliveries.where(is_good).isEmpty():
         raise quality.EmptyLayerError(f"bronze has no rows for {day}")
 
-    overwrite_day(silver_events(archive, live), f"{root}/silver/events", day, ["hour"])
-    overwrite_day(malformed, f"{root}/quarantine/lines", day)
-    overwrite_day(rejected_deliveries(archive, live), f"{root}/quarantine/deliveries", day)
+    watch = Observation("rejected")
+    counted = deliveries.observe(watch, F.count_if(~is_good).alias("rejected"))
+    good = counted.where(is_good).drop(REASON, CORRUPT)
+    silver = normalize_events(dedup_live_first(good))
+    overwrite_day(silver, f"{root}/silver/events", day, ["hour"])
+
+    if watch.get["rejected"]:
+        overwrite_day(deliveries.where(~is_good), f"{root}/quarantine", day)
+    else:
+        delete_path(spark, day_path(f"{root}/quarantine", day))
 
     report = quality.verify_silver(read_silver(spark, root, day)).first()
     if report is None:

@@ -31,6 +31,9 @@ _ORG = _schema("id bigint, login string, gravatar_id string, url string, avatar_
 DAY_PARTS = ["year", "month", "day"]
 HOUR_PARTS = ["year", "month", "day", "hour"]
 
+# text of a line that is no JSON
+CORRUPT = "_corrupt_record"
+
 # payload is an object in the file; read into STRING it keeps its JSON text
 BRONZE_EVENT = _schema(
     "id string, type string, actor actor, repo repo, payload string, "

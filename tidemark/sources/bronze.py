@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scalars import hour_parts, utc_now, utc_timestamp
-from tidemark.schemas import BRONZE_EVENT, HOUR_PARTS, LIVE_EVENT
+from tidemark.schemas import BRONZE_EVENT, CORRUPT, HOUR_PARTS, LIVE_EVENT
 from tidemark.sources.paths import day_folder, hour_path, part_condition, path_has_data
 
-CORRUPT = "_corrupt_record"
-
 
 def _read_lines(spark: SparkSession, root: str, schema: T.StructType, day, hour) -> DataFrame:
     parts = [T.StructField(name, T.StringType()) for name in HOUR_PARTS]

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.schemas import LIVE_EVENT
-from tidemark.sources.bronze import CORRUPT
+from tidemark.schemas import CORRUPT, LIVE_EVENT
 
 TOPIC = "gh.events.live"
 
