@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import bronze_frame, event, rows_of
 from tidemark.functions import scalars
-from tidemark.operators import events, heatmap, marts, profile, progress, serving, velocity
+from tidemark.operators import events, heatmap, profile, progress, serving, velocity
 
 
 def mart(spark, rows, kind):
