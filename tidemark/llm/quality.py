@@ -16,10 +16,9 @@ from __future__ import annotations
 
 import dataclasses
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WORD = r"[\\x20\\x09-\\x0D]+"  # what separates words, inside a SQL string
 WINDOW = 8
 
 
@@ -30,32 +29,52 @@ class Rules:
     buckets: int = 1 << 16
     target_docs: int = 20_000
     smoothing: float = 1.0
-    threshold: float = -0.1
+    threshold: float = -0.12
     min_words: int = 20
     max_repeat_percent: int = 30
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """doc_id, its words, and the counted columns of each whole text."""
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.select(
-        "doc_id",
-        "text",
-        F.expr(f"array_remove(split(text, '{WORD}'), '')").alias("words"),
-        F.expr(f"filter(split(text, '\\n'), x -> x rlike '[^\\\\x20\\\\x09-\\\\x0D]')").alias("lines"),
+# white space to spaces, then single characters split without a regular expression
+SPACED = "coalesce(cast(text as string), '')"
+for mark in ("\\t", "\\n", "\\x0B", "\\f", "\\r"):
+    SPACED = f"replace({SPACED}, '{mark.encode().decode('unicode_escape')}', ' ')"
+
+
+def pairs(column: str, step: int) -> Column:
+    """Hashes of 2 * step words from hashes of ``step`` words."""
+    size = f"greatest(size({column}) - {step}, 0)"
+    return F.expr(
+        f"zip_with(slice({column}, 1, {size}), slice({column}, {step + 1}, {size}), (x, y) -> xxhash64(x, y))"
+    )
+
+
+def hashed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, split pieces, and the hashes of single words and of pairs."""
+    rows = docs.select("doc_id", "text", F.expr(f"split({SPACED}, ' ')").alias("pieces"))
+    rows = rows.withColumn(
+        "ones", F.expr("transform(array_remove(pieces, ''), w -> xxhash64(w))")
+    )
+    return rows.withColumn("twos", pairs("ones", 1))
+
+
+def measured(rows: DataFrame) -> DataFrame:
+    """Add the counted columns of each whole text to ``hashed`` rows."""
+    text = "coalesce(cast(text as string), '')"
+    rows = rows.withColumns(
+        {
+            "lines": F.expr(f"filter(split({text}, '\\n'), x -> x rlike '[^\\\\x20\\\\x09-\\\\x0D]')"),
+            "fours": pairs("twos", 2),
+        }
     )
     rows = rows.withColumns(
         {
-            "n_words": F.size("words").cast("long"),
-            "word_chars": F.expr("cast(length(array_join(words, '')) as bigint)"),
-            "n_symbols": F.expr("cast(size(split(text, '[#*$%&|<>]', -1)) - 1 as bigint)"),
+            "n_words": F.size("ones").cast("long"),
+            "word_chars": F.expr(f"cast(length({text}) - size(pieces) + 1 as bigint)"),
+            "n_symbols": F.expr(f"cast(size(split({text}, '[#*$%&|<>]', -1)) - 1 as bigint)"),
             "n_dup_lines": F.expr("cast(size(lines) - size(array_distinct(lines)) as bigint)"),
-            "windows": F.expr(
-                f"case when size(words) >= {WINDOW} then transform(sequence(1, size(words) - {WINDOW - 1}),"
-                f" i -> xxhash64(slice(words, i, {WINDOW}))) else cast(array() as array<bigint>) end"
-            ),
+            "windows": pairs("fours", 4),
         }
-    ).drop("text", "lines")
+    ).drop("text", "lines", "pieces", "fours")
     # only texts with an equal pair of windows look at positions
     rows = rows.withColumn(
         "placed",
@@ -80,19 +99,8 @@ def measured(docs: DataFrame) -> DataFrame:
     return rows.withColumn("n_repeat_words", covered).drop("windows", "placed", "repeated")
 
 
-def features(rows: DataFrame, buckets: int, *keep: str) -> DataFrame:
-    """One row per hashed unigram and bigram; a row without words gives a null."""
-    hashed = F.expr(
-        f"concat(transform(words, w -> cast(pmod(xxhash64(w), {buckets}) as int)),"
-        f" case when size(words) > 1 then transform(sequence(1, size(words) - 1),"
-        f" i -> cast(pmod(xxhash64(words[i - 1], words[i]), {buckets}) as int))"
-        " else cast(array() as array<int>) end)"
-    )
-    return rows.select(*keep, F.explode_outer(hashed).alias("bucket"))
-
-
 def ratios(docs: DataFrame, labels: DataFrame, rules: Rules) -> DataFrame:
-    """bucket, log(target / raw): at most ``buckets`` rows."""
+    """One row: an array of log(target / raw) by bucket."""
     trusted = (
         labels.where("quality = 1 and doc_id is not null")
         .select(F.col("doc_id").alias("trusted_id"))
@@ -100,25 +108,32 @@ def ratios(docs: DataFrame, labels: DataFrame, rules: Rules) -> DataFrame:
         .orderBy(F.xxhash64("trusted_id"), "trusted_id")
         .limit(rules.target_docs)
     )
-    words = docs.select(
-        "doc_id",
-        F.expr(f"array_remove(split(coalesce(cast(text as string), ''), '{WORD}'), '')").alias("words"),
-    )
     # the sample has at most target_docs ids: a bounded broadcast
-    flagged = words.join(F.broadcast(trusted), F.col("doc_id") == F.col("trusted_id"), "left")
+    flagged = hashed(docs).join(
+        F.broadcast(trusted), F.col("doc_id") == F.col("trusted_id"), "left"
+    )
     counts = (
-        features(flagged, rules.buckets, "trusted_id")
-        .where("bucket is not null")
-        .groupBy("bucket")
+        flagged.select("trusted_id", F.explode(F.concat("ones", "twos")).alias("feature"))
+        .groupBy(F.pmod("feature", F.lit(rules.buckets)).cast("int").alias("bucket"))
         .agg(F.count(F.lit(1)).alias("raw"), F.count("trusted_id").alias("target"))
     )
-    totals = counts.agg(F.sum("raw").alias("all_raw"), F.sum("target").alias("all_target"))
-    smooth, flat = F.lit(rules.smoothing), rules.smoothing * rules.buckets
-    share = (F.col("target") + smooth) / (F.col("all_target") + flat)
-    raw_share = (F.col("raw") + smooth) / (F.col("all_raw") + flat)
-    return counts.crossJoin(F.broadcast(totals)).select(  # totals is one row
-        F.col("bucket").alias("known"),
-        F.when(F.col("all_target") == 0, F.lit(0.0)).otherwise(F.log(share / raw_share)).alias("ratio"),
+    every = docs.sparkSession.range(rules.buckets).select(F.col("id").cast("int").alias("bucket"))
+    # one row of exactly ``buckets`` entries, whatever the corpus is
+    gathered = every.join(counts, "bucket", "left").agg(
+        F.sort_array(
+            F.collect_list(F.struct("bucket", F.coalesce("raw", F.lit(0)).alias("raw"),
+                                    F.coalesce("target", F.lit(0)).alias("target")))
+        ).alias("of"),
+        F.sum("raw").alias("raws"),
+        F.sum("target").alias("targets"),
+    )
+    flat = rules.smoothing * rules.buckets
+    return gathered.select(
+        F.expr(
+            f"transform(of, b -> case when coalesce(targets, 0) = 0 then 0D else"
+            f" ln((b.target + {rules.smoothing}D) / (targets + {flat}D)"
+            f" / ((b.raw + {rules.smoothing}D) / (raws + {flat}D))) end)"
+        )
     )
 
 
@@ -127,15 +142,12 @@ COUNTED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 def quality_rules(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """doc_id, the counted columns, score, base_failed, kept: one row per document."""
-    rows = measured(docs).withColumn("row", F.monotonically_increasing_id())
-    keys = ["row", "doc_id", *COUNTED]
-    # the table has at most ``buckets`` rows: a bounded broadcast
-    scored = features(rows, rules.buckets, *keys).join(
-        F.broadcast(ratios(docs, labels, rules)), F.col("bucket") == F.col("known"), "left"
-    )
-    scored = scored.groupBy(*keys).agg(
-        (F.coalesce(F.sum("ratio"), F.lit(0.0)) / F.greatest(F.count("bucket"), F.lit(1))).alias("score")
+    rows = measured(hashed(docs)).withColumn("ratios", ratios(docs, labels, rules).scalar())
+    total = F.expr(
+        "aggregate(concat(ones, twos), 0D, (a, x) ->"
+        f" a + ratios[cast(pmod(x, {rules.buckets}) as int)])"
     )
+    scored = rows.withColumn("score", total / F.greatest(F.size("ones") + F.size("twos"), F.lit(1)))
     failed = (F.col("n_words") < rules.min_words) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * rules.max_repeat_percent
     )
