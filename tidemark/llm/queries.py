@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality
+from tidemark.llm import bpe, quality, tokens
 from tidemark.llm.base import table
 
 QUERIES = {}
@@ -19,3 +20,13 @@ def query(fn):
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(table(spark, sf_dir, "documents"), path(tokens.TOKENIZER))
+
+
+@query
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded(table(spark, sf_dir, "documents"), path(tokens.TOKENIZER), digests_only=True)
