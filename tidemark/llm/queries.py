@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, quality, tokens
+from tidemark.llm import bpe, decontaminate, quality, tokens, toxicity, warc
 from tidemark.llm.base import table
 
 QUERIES = {}
@@ -13,7 +15,13 @@ ORACLES: dict[str, str] = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if spark.sparkContext.master.startswith("local["):
+            # workers of a local session may start in another folder than the repository
+            spark.sparkContext.environment["PYTHONPATH"] = str(Path(__file__).resolve().parents[2])
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
     return fn
 
 
@@ -30,3 +38,22 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(table(spark, sf_dir, "documents"), path(tokens.TOKENIZER), digests_only=True)
+
+
+@query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.write_archive(table(spark, sf_dir, "pages")).read_all()
+
+
+@query
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.drop("items", "spans")
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.toxicity(docs, toxicity.fitted(docs, table(spark, sf_dir, "labels")))
