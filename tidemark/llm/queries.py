@@ -7,7 +7,7 @@ from pathlib import Path
 from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, quality, tokens, toxicity, warc
+from tidemark.llm import bpe, decontaminate, pii, quality, tokens, toxicity, warc
 from tidemark.llm.base import table
 
 QUERIES = {}
@@ -57,3 +57,8 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.toxicity(docs, toxicity.fitted(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents")).drop("text_hash", "found")
