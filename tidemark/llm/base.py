@@ -8,10 +8,15 @@ import uuid
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # bytes of text that one numpy step handles; a longer text is a step of its own
 BLOCK_BYTES = 1 << 20
 
+# a bit table has this many bits per value, within these bounds (32 MB at most)
+BITS_PER_VALUE = 32
+LEAST_BITS, MOST_BITS = 1 << 16, 1 << 28
+
 _own_folder: dict[str, str] = {}
 
 
@@ -175,3 +180,31 @@ class Words:
         rows = self.rows()
         whole = np.flatnonzero(rows[:n] == rows[k - 1 :])
         return mixed(total[whole]), whole
+
+
+def bit_table(rows: DataFrame, column: str) -> np.ndarray:
+    """A table with a bit set for each value of a bigint column.
+
+    Its length is bounded by ``MOST_BITS``; past that more values pass that are
+    not in it, never fewer that are.
+    """
+    n = rows.count()
+    bits = LEAST_BITS
+    while bits < min(n * BITS_PER_VALUE, MOST_BITS):
+        bits *= 2
+    value = rows.select(F.col(column).alias("value"))
+    place = F.expr(f"value & {bits - 1}")
+    words = value.groupBy(F.shiftright(place, 6).alias("word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(value & 63 as int))")).alias("set")
+    )
+    table = np.zeros(bits >> 6, np.int64)
+    for r in words.toLocalIterator():  # at most bits / 64 rows
+        table[r.word] = r.set
+    return table.view(np.uint64)
+
+
+def passing(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Which hashes have their bit set."""
+    place = hashes & np.uint64(len(table) * 64 - 1)
+    word = table[(place >> np.uint64(6)).astype(np.int64)]
+    return ((word >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)

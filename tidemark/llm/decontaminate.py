@@ -8,8 +8,7 @@ a window are one fingerprint each, the hash of all their words; documents are
 asked for every such length that occurs.
 
 Document fingerprints are first looked up in a bit table made of the test
-fingerprints (one bit each; a set size decides its length, at most
-``MOST_BITS``). What passes is joined with the test fingerprints by hash, and
+fingerprints (its length follows their number up to a fixed bound). What passes is joined with the test fingerprints by hash, and
 each hit is extended: the windows around it are compared word by word with the
 windows of the items.
 
@@ -27,12 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.base import ALPHANUMERIC, Texts, Words, blocks, drop, stage
+from tidemark.llm.base import ALPHANUMERIC, Words, bit_table, blocks, passing, stage
 
 WINDOW, GRAM = 10, 5
-BITS_PER_FINGERPRINT = 32
-MOST_BITS = 1 << 28  # 32 MB
-LEAST_BITS = 1 << 16
 
 
 def selected(hashes: np.ndarray, rows: np.ndarray, width: int) -> np.ndarray:
@@ -111,28 +107,6 @@ def words_of(words: Words, row: int) -> Words:
     return part
 
 
-def bit_table(prints: DataFrame) -> np.ndarray:
-    """A table with a bit set for each fingerprint; its size is bounded, not its truth."""
-    n = prints.count()
-    bits = LEAST_BITS
-    while bits < min(n * BITS_PER_FINGERPRINT, MOST_BITS):
-        bits *= 2
-    place = F.expr(f"print & {bits - 1}")
-    rows = prints.groupBy(F.shiftright(place, 6).alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(print & 63 as int))")).alias("set")
-    )
-    table = np.zeros(bits >> 6, np.int64)
-    for r in rows.toLocalIterator():  # at most bits / 64 rows
-        table[r.word] = r.set
-    return table.view(np.uint64)
-
-
-def passing(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
-    place = hashes & np.uint64(len(table) * 64 - 1)
-    word = table[(place >> np.uint64(6)).astype(np.int64)]
-    return ((word >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)
-
-
 HITS = "doc_id bigint, n_words bigint, hits array<struct<print:bigint,start:int,words:string>>"
 
 
@@ -194,7 +168,7 @@ def found_windows(
     lengths = sorted(
         r[0] for r in wins.where(n_words < window).select(n_words).distinct().collect()
     )  # fewer than ``window`` of them
-    table = spark.sparkContext.broadcast(bit_table(prints))
+    table = spark.sparkContext.broadcast(bit_table(prints, "print"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     met = rows.mapInArrow(document_hits(table, lengths, window, gram), HITS)
     met, at_docs = stage(met.withColumn("row", F.monotonically_increasing_id()), "hits")

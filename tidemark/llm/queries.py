@@ -7,7 +7,7 @@ from pathlib import Path
 from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, pii, quality, tokens, toxicity, warc
+from tidemark.llm import bpe, decontaminate, jaccard, pii, quality, tokens, toxicity, warc
 from tidemark.llm.base import table
 
 QUERIES = {}
@@ -62,3 +62,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents")).drop("text_hash", "found")
+
+
+@query
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar(table(spark, sf_dir, "documents"))
