@@ -7,7 +7,7 @@ from pathlib import Path
 from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, jaccard, pii, quality, tokens, toxicity, warc
+from tidemark.llm import bpe, decontaminate, jaccard, pii, quality, substrings, tokens, toxicity, warc
 from tidemark.llm.base import table
 
 QUERIES = {}
@@ -67,3 +67,8 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicated(table(spark, sf_dir, "documents"))
