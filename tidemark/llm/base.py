@@ -62,6 +62,24 @@ def stage(frame: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(frame.schema).parquet(path), path
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, text_hash. Rows with equal doc_id and text have equal results, so
+    results are joined back by doc_id and text_hash."""
+    text = F.col("text").cast("string")
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash")
+    )
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents whose (doc_id, text_hash) is not in ``gone``."""
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_text")).distinct()
+    same = docs["doc_id"].eqNullSafe(gone["gone_id"]) & (
+        F.xxhash64(docs["text"].cast("string")) == gone["gone_text"]
+    )
+    return docs.join(gone, same, "left_anti")
+
+
 def byte_classes(separators: bytes) -> np.ndarray:
     """256 entries: 0 for a separator, else the byte with A-Z lower-cased."""
     classes = np.arange(256, dtype=np.uint8)

@@ -153,37 +153,27 @@ def coder(path: str) -> Coder:
     return _coders[path]
 
 
-def encoded(docs: DataFrame, path: str, digests_only: bool = False) -> DataFrame:
-    """doc_id, ids, decoded of each whole text; with ``digests_only`` their count and SHA-256.
+def encoded(docs: DataFrame, path: str, texts: bool = True) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, and with ``texts`` ids and decoded.
 
     ``ids`` is a binary column of little-endian unsigned 32-bit integers.
     """
 
     def run(batches):
         for batch in batches:
-            ids, decoded = [], []
-            for texts in batches_of(batch.column("text")):
-                for a, b in map(coder(path).both, texts):
-                    if digests_only:
-                        ids.append((len(a) // 4, hashlib.sha256(a).hexdigest()))
-                        decoded.append(hashlib.sha256(b).hexdigest())
-                    else:
-                        ids.append(a)
-                        decoded.append(b.decode())
-            columns = {"doc_id": batch.column("doc_id")}
-            if digests_only:
-                columns["n_tokens"] = pa.array([n for n, _ in ids], pa.int64())
-                columns["ids_sha256"] = pa.array([h for _, h in ids], pa.string())
-                columns["decoded_sha256"] = pa.array(decoded, pa.string())
-            else:
-                columns["ids"] = pa.array(ids, pa.binary())
-                columns["decoded"] = pa.array(decoded, pa.string())
-            yield pa.RecordBatch.from_pydict(columns)
-
+            rows = []
+            for part in batches_of(batch.column("text")):
+                for ids, decoded in map(coder(path).both, part):
+                    row = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest())
+                    rows.append((*row, ids, decoded.decode()) if texts else row)
+            kinds = [pa.int64(), pa.string(), pa.string(), pa.binary(), pa.string()][: 5 if texts else 3]
+            columns = list(zip(*rows)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *[pa.array(c, k) for c, k in zip(columns, kinds)]], names
+            )
+
+    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    schema += ", ids binary, decoded string" * texts
+    names = [field.split()[0] for field in schema.split(", ")]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    kind = (
-        "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-        if digests_only
-        else "doc_id bigint, ids binary, decoded string"
-    )
-    return rows.mapInArrow(run, kind)
+    return rows.mapInArrow(run, schema)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.base import ALPHANUMERIC, Words, bit_table, blocks, passing, stage
+from tidemark.llm.base import ALPHANUMERIC, Words, bit_table, blocks, keyed, passing, stage, without
 
 WINDOW, GRAM = 10, 5
 
@@ -107,7 +107,7 @@ def words_of(words: Words, row: int) -> Words:
     return part
 
 
-HITS = "doc_id bigint, n_words bigint, hits array<struct<print:bigint,start:int,words:string>>"
+HITS = "doc_id bigint, text_hash bigint, n_words bigint, hits array<struct<print:bigint,start:int,words:string>>"
 
 
 def document_hits(table, lengths: list[int], window: int, gram: int):
@@ -146,8 +146,13 @@ def document_hits(table, lengths: list[int], window: int, gram: int):
             kind = pa.list_(pa.struct([("print", pa.int64()), ("start", pa.int32()), ("words", pa.string())]))
             hits = [[dict(zip(("print", "start", "words"), h)) for h in row] for row in hits]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(hits, kind)],
-                ["doc_id", "n_words", "hits"],
+                [
+                    batch.column("doc_id"),
+                    batch.column("text_hash"),
+                    pa.array(counts, pa.int64()),
+                    pa.array(hits, kind),
+                ],
+                ["doc_id", "text_hash", "n_words", "hits"],
             )
 
     return run
@@ -169,8 +174,7 @@ def found_windows(
         r[0] for r in wins.where(n_words < window).select(n_words).distinct().collect()
     )  # fewer than ``window`` of them
     table = spark.sparkContext.broadcast(bit_table(prints, "print"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    met = rows.mapInArrow(document_hits(table, lengths, window, gram), HITS)
+    met = keyed(docs).mapInArrow(document_hits(table, lengths, window, gram), HITS)
     met, at_docs = stage(met.withColumn("row", F.monotonically_increasing_id()), "hits")
     candidates = met.where("size(hits) > 0").select("row", F.explode("hits").alias("hit")).select("row", "hit.*")
     # fingerprints first, then the window itself, word by word
@@ -182,7 +186,7 @@ def found_windows(
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM
 ) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items, spans.
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items, spans, text_hash.
 
     ``items`` lists the items met, sorted as strings; ``spans`` the runs of hit
     words as (first word, word after the last).
@@ -209,7 +213,7 @@ def decontaminate(
     )
     none = F.array().cast("array<string>")
     return (
-        met.select("row", "doc_id", "n_words")
+        met.select("row", "doc_id", "text_hash", "n_words")
         .join(spans, "row", "left")
         .join(listed, "row", "left")
         .select(
@@ -221,5 +225,12 @@ def decontaminate(
             (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
             F.coalesce("items", none).alias("items"),
             F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"),
+            "text_hash",
         )
     )
+
+
+def clean_only(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """The documents without contaminated ones."""
+    gone = decontaminate(docs, benchmark, window, gram).where("contaminated").select("doc_id", "text_hash")
+    return without(docs, gone)

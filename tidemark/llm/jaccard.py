@@ -46,9 +46,11 @@ from tidemark.llm.base import (
     bit_table,
     blocks,
     drop,
+    keyed,
     mixed,
     passing,
     stage,
+    without,
 )
 from tidemark.llm.components import components
 
@@ -67,13 +69,13 @@ class Join:
 
 
 class Sets:
-    """Distinct shingles of each row of a block, in the global order."""
+    """Distinct shingles of each row of a block, in the global order; words per row."""
 
     def __init__(self, texts: Texts, frequent=None):
         words = Words(texts, SPACED)
         hashes, first = words.grams(SHINGLE)
         rows = words.rows()[first]
-        counts = np.diff(words.first)
+        self.words = counts = np.diff(words.first)
         short = np.flatnonzero((counts > 0) & (counts < SHINGLE))
         if len(short):
             whole = np.zeros(len(short), np.uint64)
@@ -117,7 +119,7 @@ class Sets:
         return out
 
 
-MEASURED = "doc_id bigint, n_shingles bigint, node bigint, " + ", ".join(
+MEASURED = "doc_id bigint, text_hash bigint, n_shingles bigint, node bigint, " + ", ".join(
     f"b{i} bigint" for i in range(LANES)
 ) + ", counts binary"
 
@@ -140,8 +142,13 @@ def measured(rows: DataFrame, join: Join) -> DataFrame:
                 counters += np.bincount(place, minlength=join.width)
             columns = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in (sizes, nodes, *lanes)]
             out = pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *[pa.array(c, pa.int64()) for c in columns], pa.nulls(batch.num_rows, pa.binary())],
-                ["doc_id", "n_shingles", "node", *(f"b{i}" for i in range(LANES)), "counts"],
+                [
+                    batch.column("doc_id"),
+                    batch.column("text_hash"),
+                    *[pa.array(c, pa.int64()) for c in columns],
+                    pa.nulls(batch.num_rows, pa.binary()),
+                ],
+                ["doc_id", "text_hash", "n_shingles", "node", *(f"b{i}" for i in range(LANES)), "counts"],
             )
             schema = out.schema
             yield out
@@ -327,30 +334,15 @@ def verified(rows: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "a bigint, b bigint")
 
 
-def similar(docs: DataFrame, join: Join = Join()) -> DataFrame:
-    """doc_id, n_shingles, component_id of each document."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    met, met_at = stage(measured(rows, join), "measured")
-    often = spark.sparkContext.broadcast(frequent(met.where("counts is not null"), join))
-    met = met.where("counts is null").drop("counts")
-    classes, _ = stage(
-        met.where("n_shingles > 0 and doc_id is not null")
-        .groupBy("node")
-        .agg(
-            F.min("doc_id").alias("least"),
-            F.first("n_shingles").alias("n"),
-            *[F.first(f"b{i}").alias(f"b{i}") for i in range(LANES)],
-        ),
-        "classes",
-    )
-    placed = rows.where("doc_id is not null")
-    shared, shared_at = stage(shared_keys(indexed(placed, often, join)), "shared")
+def connected(rows: DataFrame, classes: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of the nodes that link, from the candidates (key, node, leader).
 
+    ``rows`` holds the texts, ``classes`` each node's size and parity bits.
+    """
     # first the leaders of the keys, then whatever is still apart
     near = shared.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    near, _ = stage(plausible(near, classes, join.percent), "pairs")
-    edges, _ = stage(verified(placed, near, join.percent), "links")
+    near, _ = stage(plausible(near, classes, percent), "pairs")
+    edges, _ = stage(verified(rows, near, percent), "links")
     grouped, _ = stage(components(edges), "components")
     known = shared.select("key", "node").join(grouped, "node", "left")
     known = known.select("key", "node", F.coalesce("component", "node").alias("component"))
@@ -364,15 +356,41 @@ def similar(docs: DataFrame, join: Join = Join()) -> DataFrame:
     left = known.select("key", F.col("node").alias("a"), F.col("component").alias("a_in"))
     right = known.select("key", F.col("node").alias("b"), F.col("component").alias("b_in"))
     rest = left.join(right, "key").where("a < b and a_in != b_in").select("a", "b").distinct()
-    rest = plausible(rest, classes, join.percent).join(
+    rest = plausible(rest, classes, percent).join(
         near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"
     )
     rest, _ = stage(rest, "pairs")
-    if not rest.isEmpty():
-        more, _ = stage(verified(placed, rest, join.percent), "links")
-        if not more.isEmpty():
-            grouped, _ = stage(components(edges.unionByName(more)), "components")
-    drop(spark, shared_at, known_at)
+    drop(rows.sparkSession, known_at)
+    if rest.isEmpty():
+        return grouped
+    more, _ = stage(verified(rows, rest, percent), "links")
+    if more.isEmpty():
+        return grouped
+    return stage(components(edges.unionByName(more)), "components")[0]
+
+
+def similar(docs: DataFrame, join: Join = Join()) -> DataFrame:
+    """doc_id, n_shingles, component_id, text_hash of each document."""
+    spark = docs.sparkSession
+    rows = keyed(docs)
+    met, met_at = stage(measured(rows, join), "measured")
+    often = spark.sparkContext.broadcast(frequent(met.where("counts is not null"), join))
+    met = met.where("counts is null").drop("counts")
+    classes, _ = stage(
+        met.where("n_shingles > 0 and doc_id is not null")
+        .groupBy("node")
+        .agg(
+            F.min("doc_id").alias("least"),
+            F.first("n_shingles").alias("n"),
+            *[F.first(f"b{i}").alias(f"b{i}") for i in range(LANES)],
+        ),
+        "classes",
+    )
+    placed = rows.where("doc_id is not null")
+    shared, shared_at = stage(shared_keys(indexed(placed, often, join)), "shared")
+
+    grouped = connected(placed, classes, shared, join.percent)
+    drop(spark, shared_at)
     # the smallest doc_id of each component
     labelled = classes.select("node", "least").join(grouped, "node", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "node"))
@@ -384,4 +402,19 @@ def similar(docs: DataFrame, join: Join = Join()) -> DataFrame:
         F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id"))
         .otherwise(F.col("doc_id"))
         .alias("component_id"),
+        "text_hash",
     )
+
+
+def one_of_each(docs: DataFrame, join: Join = Join()) -> DataFrame:
+    """The documents without those that have a smaller doc_id in their component.
+
+    Rows that repeat a doc_id and its text stay once.
+    """
+    gone = similar(docs, join).where("component_id != doc_id").select("doc_id", "text_hash")
+    kept = without(docs, gone)
+    seen = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if seen.where("n > 1").isEmpty():
+        return kept
+    named = kept.where("doc_id is not null").dropDuplicates(["doc_id", "text"])
+    return named.unionByName(kept.where("doc_id is null"))

@@ -49,8 +49,10 @@ def pairs(column: str, step: int) -> Column:
 
 
 def hashed(docs: DataFrame) -> DataFrame:
-    """doc_id, text, split pieces, and the hashes of single words and of pairs."""
-    rows = docs.select("doc_id", "text", F.expr(f"split({SPACED}, ' ')").alias("pieces"))
+    """The whole row as ``doc``, doc_id, text, split pieces, hashes of single words and of pairs."""
+    rows = docs.select(
+        F.struct("*").alias("doc"), "doc_id", "text", F.expr(f"split({SPACED}, ' ')").alias("pieces")
+    )
     rows = rows.withColumn(
         "ones", F.expr("transform(array_remove(pieces, ''), w -> xxhash64(w))")
     )
@@ -140,19 +142,29 @@ def ratios(docs: DataFrame, labels: DataFrame, rules: Rules) -> DataFrame:
 COUNTED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """doc_id, the counted columns, score, base_failed, kept: one row per document."""
+def judged(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """doc (the whole row), doc_id, the counted columns, score, base_failed, kept."""
     rows = measured(hashed(docs)).withColumn("ratios", ratios(docs, labels, rules).scalar())
     total = F.expr(
         "aggregate(concat(ones, twos), 0D, (a, x) ->"
         f" a + ratios[cast(pmod(x, {rules.buckets}) as int)])"
     )
-    scored = rows.withColumn("score", total / F.greatest(F.size("ones") + F.size("twos"), F.lit(1)))
+    scored = rows.withColumn("score", F.round(total / F.greatest(F.size("ones") + F.size("twos"), F.lit(1)), 9))
     failed = (F.col("n_words") < rules.min_words) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * rules.max_repeat_percent
     )
     return (
         scored.withColumn("base_failed", failed)
-        .withColumn("kept", ~F.col("base_failed") & (F.round("score", 9) >= rules.threshold))
-        .select("doc_id", *COUNTED, F.round("score", 9).alias("score"), "base_failed", "kept")
+        .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= rules.threshold))
+        .select("doc", "doc_id", *COUNTED, "score", "base_failed", "kept")
     )
+
+
+def quality_rules(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """doc_id, the counted columns, score, base_failed, kept: one row per document."""
+    return judged(docs.select("doc_id", "text"), labels, rules).drop("doc")
+
+
+def kept_only(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """The documents that the rules keep, with all their columns."""
+    return judged(docs, labels, rules).where("kept").select("doc.*")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import corpus_pipeline
 from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, jaccard, pii, quality, substrings, tokens, toxicity, warc
+from tidemark.llm import bpe, decontaminate, jaccard, paragraphs, pii, quality, substrings
+from tidemark.llm import tokens, toxicity, warc
 from tidemark.llm.base import table
 
 QUERIES = {}
@@ -37,7 +39,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encoded(table(spark, sf_dir, "documents"), path(tokens.TOKENIZER), digests_only=True)
+    return bpe.encoded(table(spark, sf_dir, "documents"), path(tokens.TOKENIZER), texts=False)
 
 
 @query
@@ -50,7 +52,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
-    return found.drop("items", "spans")
+    return found.drop("items", "spans", "text_hash")
 
 
 @query
@@ -66,9 +68,19 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similar(table(spark, sf_dir, "documents"))
+    return jaccard.similar(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 @query
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.deduplicated(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.deduplicated(table(spark, sf_dir, "documents")).drop("removed")
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

@@ -219,7 +219,10 @@ def token_counts(
     longest = huge.agg(F.max(F.length("text"))).first()[0] or 0
     size = chunk_chars
     while longest:
-        done, where = stage(spliced(chunks(huge, size, overlap).mapInArrow(encode_chunks(path), CHUNKS)), "spliced")
+        # read three times when spliced, encoded once
+        encoded, there = stage(chunks(huge, size, overlap).mapInArrow(encode_chunks(path), CHUNKS), "encoded")
+        done, _ = stage(spliced(encoded), "spliced")
+        drop(docs.sparkSession, there)
         parts.append(done.where("aligned").select("doc_id", "n_bytes", "n_tokens"))
         if done.where("not aligned").isEmpty():
             break
