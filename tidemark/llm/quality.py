@@ -40,6 +40,11 @@ for mark in ("\\t", "\\n", "\\x0B", "\\f", "\\r"):
     SPACED = f"replace({SPACED}, '{mark.encode().decode('unicode_escape')}', ' ')"
 
 
+# always true, and an expression that the optimiser neither copies nor moves: without it a
+# filter on a verdict is pushed below the arrays, which are then built once per element
+ONCE = "monotonically_increasing_id() >= 0"
+
+
 def pairs(column: str, step: int) -> Column:
     """Hashes of 2 * step words from hashes of ``step`` words."""
     size = f"greatest(size({column}) - {step}, 0)"
@@ -81,7 +86,7 @@ def measured(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn(
         "placed",
         F.expr(
-            "case when size(array_distinct(windows)) < size(windows)"
+            f"case when {ONCE} and size(array_distinct(windows)) < size(windows)"
             " then array_sort(transform(windows, (h, i) -> struct(h as h, i as i))) end"
         ),
     )
@@ -94,7 +99,7 @@ def measured(rows: DataFrame) -> DataFrame:
         ),
     )
     covered = F.expr(
-        "case when repeated is null then 0L else aggregate(repeated, struct(0L as total, 0L as reach),"
+        f"case when {ONCE} and repeated is null then 0L else aggregate(repeated, struct(0L as total, 0L as reach),"
         f" (a, p) -> struct(a.total + p + {WINDOW}L - greatest(cast(p as bigint), a.reach) as total,"
         f" p + {WINDOW}L as reach), a -> a.total) end"
     )
@@ -146,8 +151,8 @@ def judged(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> DataFr
     """doc (the whole row), doc_id, the counted columns, score, base_failed, kept."""
     rows = measured(hashed(docs)).withColumn("ratios", ratios(docs, labels, rules).scalar())
     total = F.expr(
-        "aggregate(concat(ones, twos), 0D, (a, x) ->"
-        f" a + ratios[cast(pmod(x, {rules.buckets}) as int)])"
+        f"case when {ONCE} then aggregate(concat(ones, twos), 0D, (a, x) ->"
+        f" a + ratios[cast(pmod(x, {rules.buckets}) as int)]) end"
     )
     scored = rows.withColumn("score", F.round(total / F.greatest(F.size("ones") + F.size("twos"), F.lit(1)), 9))
     failed = (F.col("n_words") < rules.min_words) | (
