@@ -4,7 +4,8 @@ Two multinomials over hashed word unigrams and bigrams are counted: one over a
 trusted target (documents labelled good), one over the whole raw corpus. A
 document's score is its summed log(target / raw), divided by its number of
 features; it is kept when the score reaches ``threshold`` and no counted rule
-fails. No random draw is involved: equal rows get equal verdicts.
+fails. ``smoothing`` pseudo-counts per bucket draw a ratio to 1 where there is
+little evidence, so a small corpus rejects less, not more. No random draw is involved: equal rows get equal verdicts.
 
 Defined results: a null or empty text has no words and fails the rules; rows
 that repeat, and rows without a doc_id, are scored like any other; without
@@ -28,7 +29,7 @@ class Rules:
 
     buckets: int = 1 << 16
     target_docs: int = 20_000
-    smoothing: float = 1.0
+    smoothing: float = 8.0
     threshold: float = -0.12
     min_words: int = 20
     max_repeat_percent: int = 30
@@ -134,12 +135,11 @@ def ratios(docs: DataFrame, labels: DataFrame, rules: Rules) -> DataFrame:
         F.sum("raw").alias("raws"),
         F.sum("target").alias("targets"),
     )
-    flat = rules.smoothing * rules.buckets
+    # both counts on the target's scale; pseudo-counts pull rare buckets to no verdict
     return gathered.select(
         F.expr(
             f"transform(of, b -> case when coalesce(targets, 0) = 0 then 0D else"
-            f" ln((b.target + {rules.smoothing}D) / (targets + {flat}D)"
-            f" / ((b.raw + {rules.smoothing}D) / (raws + {flat}D))) end)"
+            f" ln((b.target + {rules.smoothing}D) / (b.raw * (targets / raws) + {rules.smoothing}D)) end)"
         )
     )
 
