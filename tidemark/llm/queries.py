@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import bpe, decontaminate, jaccard, paragraphs, pii, quality, substrings
 from tidemark.llm import tokens, toxicity, warc
 from tidemark.llm.base import table
+from tidemark.llm.oracles import ORACLES  # noqa: F401
 
 QUERIES = {}
-ORACLES: dict[str, str] = {}
+
 
 
 def query(fn):
