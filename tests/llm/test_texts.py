@@ -101,7 +101,7 @@ def test_quality_counts_equal_brute_force(spark, corpus):
     assert kept.columns == docs.columns and kept.count() == found.where("kept").count()
     assert quality.quality_rules(docs.limit(0), labels).collect() == []
     none = quality.quality_rules(docs, labels.limit(0))
-    assert none.where("kept != not base_failed or score != 0").count() == 0
+    assert none.where("kept = base_failed or score != 0").count() == 0
 
 
 def test_quality_scores_are_the_ratio_of_the_counts(spark):
@@ -180,12 +180,12 @@ def plain_spans(text):
         for m in pattern.finditer(text):
             digits = "".join(c for c in m[0] if c.isdigit())
             good = [
-                True,
-                all(int(p) <= 255 for p in m[0].split(".")),
-                14 <= len(digits) <= 19 and luhn(digits),
-                10 <= len(digits) <= 15,
+                lambda: True,
+                lambda: all(int(p) <= 255 for p in m[0].split(".")),
+                lambda: 14 <= len(digits) <= 19 and luhn(digits),
+                lambda: 10 <= len(digits) <= 15,
             ]
-            if kind == 0 or good[kind]:
+            if good[kind]():
                 out.append((m.start(), kind, m.end()))
     return sorted(out)
 
@@ -211,7 +211,7 @@ def test_personal_data(spark, corpus):
         text_of[i, *(sum(k == kind for _, k, _ in spans) for kind in range(4)), digest] += 1
     assert Counter((r.doc_id, r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in found) == text_of
     by_id = {r.doc_id: r for r in found}
-    assert by_id[960].spans == "identifier:16:22"  # met in the context of card numbers
+    assert by_id[960].spans == "identifier:16:23"  # met in the context of card numbers
     assert pii.personal_data(docs).where("n_identifier > 0 and doc_id < 400").count() == 0
     clean = pii.redacted(docs)
     assert clean.columns == docs.columns and clean.count() == docs.count()

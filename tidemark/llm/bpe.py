@@ -9,6 +9,8 @@ skipped. Decoding concatenates vocabulary strings.
 Normalising and splitting follow the vocabulary file: special tokens are cut
 out of the raw text, then NFC, white space to spaces, lower case character by
 character, and words by the file's pattern; bytes map to printable characters.
+Pieces with characters that this Python's Unicode tables lack are normalised
+and split by the tokenizers library (never encoded by it).
 
 Defined results: a null or empty text has no tokens and decodes to an empty
 text; repeated rows and rows without a doc_id each give a row; without
@@ -46,6 +48,7 @@ class Coder:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
+        self.path, self.library = path, None
         model = spec["model"]
         self.ids: dict[str, int] = dict(model["vocab"])
         self.suffix: str = model.get("end_of_word_suffix") or ""
@@ -96,10 +99,10 @@ class Coder:
         return [s for s, here in zip(symbols, alive) if here]
 
     def word(self, word: str) -> bytes:
-        """Ids of a normalised word, as little-endian 32-bit integers."""
+        """Ids of a normalised word in byte characters, as little-endian 32-bit integers."""
         found = self.known.get(word)
         if found is None:
-            symbols = [self.byte[b] for b in word.encode()]
+            symbols = list(word)
             symbols[-1] += self.suffix
             ids = [self.ids[s] for s in self.merged(symbols) if s in self.ids]
             if len(self.known) >= CACHED_WORDS:
@@ -107,12 +110,28 @@ class Coder:
             found = self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
         return found
 
-    def plain(self, text: str) -> bytes:
-        """Ids of a text without special tokens."""
+    def split(self, text: str) -> list[str]:
+        """Normalised words of a text without special tokens, in byte characters."""
+        if not text.isascii() and any(unicodedata.category(c) == "Cn" for c in text):
+            # newer than this Python's Unicode tables: ask the file's own rules
+            rules = self.rules()
+            return [w for w, _ in rules.pre_tokenizer.pre_tokenize_str(rules.normalizer.normalize_str(text))]
         text = unicodedata.normalize("NFC", text)
         # lower() has one rule that looks around: the final sigma
         text = text.replace("Σ", "σ").lower()
-        return b"".join(map(self.word, self.words.findall(text)))
+        byte = self.byte
+        return ["".join([byte[b] for b in word.encode()]) for word in self.words.findall(text)]
+
+    def rules(self):
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+        return self.library
+
+    def plain(self, text: str) -> bytes:
+        """Ids of a text without special tokens."""
+        return b"".join(map(self.word, self.split(text)))
 
     def encode(self, text: str) -> bytes:
         if self.specials is None:
