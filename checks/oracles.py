@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from tidemark.operators.classify import NAME_RULES
-
 # --- shared parts, each a chain of common table expressions ---------------
 
 DELIVERIES = """
@@ -286,8 +284,6 @@ merged AS (
     ON r.event_date = d.event_date AND r.repo_name = d.repo_name
 )"""
 
-PLAIN = "regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g')"
-
 GRAIN = DELIVERIES + """,
 arrivals AS (SELECT *, date_trunc('minute', arrived) AS minute FROM deliveries)"""
 
@@ -331,15 +327,29 @@ def _section() -> str:
     return f"CASE WHEN starts_with({part}, '#') THEN {part} ELSE '#### ' || {part} END"
 
 
+# words that name a category, between characters that are no letter or digit
+RULES = [
+    ("Other", "test|tests|bot|bots|e2e"),
+    ("DevTools", "warp|n8n|zapier|mattpocock/skills"),
+    ("AI/ML", "llm|llms|neural|gpt|agent|agents|codex|nn-zero|diffusion|transformer|transformers"
+              "|machinelearning|machine-learning"),
+    ("Infra", "kube|kubectl|kubernetes|docker|terraform|postgres|redis|kafka|grafana|cloud|spark"),
+    ("Web", "react|nuxt|vue|svelte|tailwind|shadcn|django|nextjs|next[.]js|http|https"),
+    ("Game", "godot|unreal|unity|game|games"),
+    ("DevTools", "cli|sdk|lint|linter|compiler|vscode|editor|build|plugin|plugins"),
+]
+
+
 def _rules(kind: str) -> str:
     """CASE over the name rules, name before text."""
     whens = []
     for text, confidence in (("lower(repo_name)", "0.9"), ("lower(section)", "0.6")):
-        for category, pattern in NAME_RULES:
+        for category, words in RULES:
+            pattern = f"(?:^|[^a-z0-9])({words})(?:[^a-z0-9]|$)"
             value = {
                 "category": f"'{category}'",
                 "confidence": f"{confidence}::DOUBLE",
-                "reasoning": f"'matched ' || regexp_extract({text}, '({pattern})', 1)",
+                "reasoning": f"'matched ' || regexp_extract({text}, '{pattern}', 1)",
             }[kind]
             whens.append(f"WHEN regexp_matches({text}, '{pattern}') THEN {value}")
     default = {"category": "'Other'", "confidence": "0.3::DOUBLE", "reasoning": "'no rule matched'"}
@@ -348,7 +358,7 @@ def _rules(kind: str) -> str:
 
 RULED = DOCUMENTS + f""",
 sectioned AS (
-  SELECT *, left(regexp_replace({_section()}, '^\\s+|\\s+$', '', 'g'), 800) AS section FROM docs
+  SELECT *, regexp_replace({_section()}, '^\\s+|\\s+$', '', 'g') AS section FROM docs
 ),
 ruled AS (
   SELECT *, {_rules("category")}, {_rules("confidence")}, {_rules("reasoning")} FROM sectioned
@@ -370,8 +380,8 @@ SELECT source, type, count(*) AS deliveries, count(DISTINCT id) AS ids,
 FROM deliveries GROUP BY source, type"""),
     "flatten_event": _with(DELIVERIES, """
 SELECT id, type, actor_id, actor_login, repo_id, repo_name, payload, public, created_at, org_login,
-       source, ingested_at, year, month, day, hour
-FROM deliveries WHERE source = 'live'"""),
+       source, CASE WHEN source = 'live' THEN ingested_at END AS ingested_at, year, month, day, hour
+FROM deliveries"""),
     "dedup_live_first": _with(SILVER, """
 SELECT id, source, ingested_at, year, month, day, hour FROM live_first"""),
     "dedup_archive_first": _with(ARCHIVE_FIRST, """
@@ -450,8 +460,6 @@ SELECT event_date, hour, CAST(sum(event_count) AS BIGINT) AS total_events,
        count(DISTINCT repo_id) AS active_repos FROM repo_hourly GROUP BY event_date, hour"""),
     "available_dates": _with(REPO_DAILY, """
 SELECT DISTINCT strftime(event_date, '%Y-%m-%d') AS date_str FROM repo_daily ORDER BY 1 DESC LIMIT 30"""),
-    "limit_rows": _with(REPO_DAILY, """
-SELECT event_date, repo_id, event_count FROM repo_daily ORDER BY event_date, repo_id LIMIT 1000"""),
     "topn_summary": _with(RANKED, """
 SELECT event_date, count(*) AS repos, CAST(sum(event_count) AS BIGINT) AS total_events,
        round(avg(rank_score), 6) + 0.0 AS avg_rank_score,
@@ -625,7 +633,7 @@ SELECT coalesce(b.date, u.new_date) AS date, coalesce(b.key, u.new_key) AS repo_
 FROM base b FULL OUTER JOIN news u ON b.key = u.new_key AND b.date = u.new_date"""),
     "cache_repo_insight": _with(DOCUMENTS, """
 SELECT date, repo_name, CASE WHEN done THEN 'Infra' END AS category,
-       CAST(length(insight_markdown) + 8 AS INTEGER) AS cached_chars,
+       md5('cached: ' || insight_markdown) AS cached_md5,
        TIMESTAMP '2024-02-03 00:00:00' AS repo_insight_generated_at FROM docs"""),
     "docs_by_date": _with(DOCUMENTS, """
 SELECT date, rank, total, repo_name, round(rank_score, 6) + 0.0 AS rank_score FROM (
@@ -636,9 +644,31 @@ SELECT date, rank, total, repo_name, round(rank_score, 6) + 0.0 AS rank_score FR
     "build_token_index": _with(TOKENS, """
 SELECT field, token, count(*) AS docs, CAST(sum(tf) AS BIGINT) AS tf, max(dl) AS max_dl
 FROM postings GROUP BY field, token"""),
-    "search_documents": _with(MATCHES, """
-SELECT date, repo_name, round(round(score, 9), 6) + 0.0 AS score FROM matched
-ORDER BY round(matched.score, 9) DESC, date DESC, repo_name LIMIT 20"""),
+    "search_documents": _with(MATCHES, """,
+best AS (
+  SELECT *, CAST(row_number() OVER (ORDER BY round(score, 9) DESC, date DESC, repo_name) AS INTEGER) AS rank
+  FROM matched
+)
+SELECT b.date, b.repo_name, round(round(b.score, 9), 6) + 0.0 AS score, b.rank,
+       (SELECT count(*) FROM matched) AS total, d.event_count, round(d.rank_score, 6) + 0.0 AS rank_score,
+       md5(d.insight_markdown) AS insight_md5
+FROM best b JOIN docs d USING (date, repo_name) WHERE b.rank <= 20"""),
+    "index_stats": "SELECT count(*) AS doc_count, true AS has_bytes FROM documents",
+    "get_repo_insight": _with(DOCUMENTS, """
+SELECT date, repo_name, md5(insight_markdown) AS insight_md5 FROM docs
+WHERE doc_id = (SELECT min(doc_id) FROM documents)"""),
+    "upsert_docs_twice": _with(DOCUMENTS, """
+SELECT date, repo_name, CAST(1 AS BIGINT) AS rows, round(rank_score, 6) + 0.0 AS rank_score FROM docs
+UNION ALL
+SELECT date, 'many/' || (event_count % 50), CAST(1 AS BIGINT), round(max(rank_score), 6) + 0.0
+FROM docs GROUP BY ALL"""),
+    "repo_metrics_5min_sketch": _with(METRICS_5MIN, """
+SELECT repo_id, ts_5min, commit_count, true AS within_bound FROM m5"""),
+    "stream_pulse_restart": _with(GRAIN, """
+SELECT minute, count(*) AS events, count(DISTINCT repo_name) AS unique_repos,
+       count(DISTINCT actor_id) AS unique_actors
+FROM arrivals WHERE source = 'live' GROUP BY minute"""),
+    "backfill_keeps_days": _with(REPO_DAILY, "SELECT event_date, repo_id, event_count FROM repo_daily"),
     "search_total": _with(MATCHES, "SELECT count(*) AS total FROM matched"),
     "merge_categories": _with(CATEGORIES, """
 SELECT event_date, repo_id, repo_name, category, category_confidence FROM merged"""),
@@ -657,7 +687,7 @@ SELECT CAST(date AS DATE) AS event_date, CAST(repo_id AS BIGINT) AS repo_id, rep
        CASE WHEN done THEN 'Infra' END AS category,
        CASE WHEN done THEN 0.75::DOUBLE END AS category_confidence,
        CASE WHEN done THEN 'seen before' END AS category_reasoning,
-       md5(insight_markdown) AS insight_markdown, 'local-rules' AS bedrock_model_id,
+       md5(insight_markdown) AS insight_markdown, 'local-rules' AS model_id,
        CASE WHEN done THEN TIMESTAMP '2024-02-02 00:00:00'
             ELSE TIMESTAMP '2024-02-01 00:00:00' END AS generated_at FROM docs"""),
     "parse_category_response": f"""
@@ -666,15 +696,15 @@ SELECT doc_id,
             ELSE 'Other' END AS category,
        CASE doc_id % 6 WHEN 0 THEN 0.9 WHEN 1 THEN 0.25 WHEN 2 THEN 0.5 WHEN 3 THEN 1.0
             ELSE 0.0 END::DOUBLE AS confidence,
-       CASE WHEN doc_id % 6 = 5 THEN 'JSON parse failed' ELSE left({PLAIN}, 200) END AS reasoning
+       CASE WHEN doc_id % 6 = 5 THEN 'JSON parse failed' ELSE text END AS reasoning
 FROM documents""",
     "parse_batch_response": f"""
 SELECT doc_id, 0 AS position, source || '/a' AS repo_name, 'Web' AS category,
-       0.78::DOUBLE AS confidence, left({PLAIN}, 200) AS reasoning FROM documents
+       0.78::DOUBLE AS confidence, text AS reasoning FROM documents
 UNION ALL SELECT doc_id, 1, source || '/b', 'Other', 0.0::DOUBLE, '' FROM documents
 UNION ALL SELECT doc_id, 2, '', 'Game', 1.0::DOUBLE, '' FROM documents""",
     "extract_repo_section": _with(DOCUMENTS, f"""
-SELECT date, repo_name, left(regexp_replace({_section()}, '^\\s+|\\s+$', '', 'g'), 800) AS section
+SELECT date, repo_name, regexp_replace({_section()}, '^\\s+|\\s+$', '', 'g') AS section
 FROM docs"""),
     "rank_table_markdown": _with(RANKED, f"""
 SELECT event_date,
@@ -736,6 +766,14 @@ SELECT event_id,
 FROM ks""",
     "classify_by_rules": _with(RULED, """
 SELECT date, repo_name, category, confidence, reasoning, false AS failed FROM ruled"""),
+    "classify_repos": _with(RULED, """
+SELECT date, repo_name,
+       CASE WHEN answered THEN CASE length(section) % 3 WHEN 0 THEN 'Infra' WHEN 1 THEN 'Web' ELSE 'Other' END END
+         AS category,
+       CASE WHEN answered THEN greatest(0.0, least(1.0, length(section) % 5 - 1.5))::DOUBLE END AS confidence,
+       CASE WHEN answered THEN length(section) || ' characters' END AS reasoning,
+       NOT answered AS failed
+FROM (SELECT *, NOT ends_with(repo_name, '7') AS answered FROM ruled WHERE NOT done)"""),
     "apply_categories": _with(RULED, """
 SELECT date, repo_name, event_count, CASE WHEN done THEN 'Infra' ELSE category END AS category,
        CASE WHEN done THEN 0.75::DOUBLE ELSE confidence END AS category_confidence,
@@ -744,13 +782,6 @@ SELECT date, repo_name, event_count, CASE WHEN done THEN 'Infra' ELSE category E
     "stamp_and_key": _with(DELIVERIES, """
 SELECT CAST(repo_id AS VARCHAR) AS key, count(*) AS records, count(DISTINCT id) AS ids,
        count(*) AS stamped FROM deliveries GROUP BY repo_id"""),
-    "stream_windowed_pulse": _with(GRAIN, """,
-live AS (SELECT * FROM arrivals WHERE source = 'live')
-SELECT minute, count(*) AS events,
-       CAST(sum(CASE WHEN type = 'PushEvent' THEN 1 ELSE 0 END) AS BIGINT) AS push_count,
-       CAST(sum(CASE WHEN type = 'WatchEvent' THEN 1 ELSE 0 END) AS BIGINT) AS watch_count
-FROM live WHERE minute + INTERVAL 1 MINUTE <= (SELECT max(arrived) FROM live) - INTERVAL 2 MINUTE
-GROUP BY minute"""),
     "pulse_grain": _with(GRAIN, """
 SELECT minute, type, repo_name, actor_id, count(*) AS n FROM arrivals
 GROUP BY minute, type, repo_name, actor_id"""),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -23,10 +24,10 @@ from tidemark.operators import (
     serving,
     velocity,
 )
-from tidemark.plans import insights, staged
+from tidemark.plans import daily, insights, staged
 from tidemark.schemas import DAY_PARTS, HOUR_PARTS, PULSE_GRAIN
 from tidemark.session import configure, new_stage_path, path_bytes, size_shuffles
-from tidemark.sources import bronze, feed, tables
+from tidemark.sources import bronze, feed, paths, tables
 from tidemark.streaming import sinks, source
 
 QUERIES = {}
@@ -37,9 +38,19 @@ MIN_PREVIOUS = 3
 SEARCH_QUERY = "and the of"
 
 
+def staging(spark: SparkSession) -> None:
+    """The checks' own staging folder where a local session names none."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", None
+    )
+    if not named and spark.sparkContext.master.startswith("local["):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-checks-"))
+
+
 def query(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
+        staging(spark)
         size_shuffles(spark, staged.FEED_GROWTH * path_bytes(spark, sf_dir))
         return rounded(fn(spark, sf_dir))
 
@@ -91,7 +102,10 @@ def union_sources(spark, sf_dir):
 
 @query
 def flatten_event(spark, sf_dir):
-    return events.flatten_event(feed.bronze_live(spark, sf_dir), "live")
+    archive, live = _bronze(spark, sf_dir)
+    return events.flatten_event(archive, "archive").unionByName(
+        events.flatten_event(live, "live"), allowMissingColumns=True
+    )
 
 
 @query
@@ -321,13 +335,6 @@ def available_dates(spark, sf_dir):
     return serving.available_dates(*_gold(spark, sf_dir, "repo_daily"))
 
 
-@query
-def limit_rows(spark, sf_dir):
-    (daily,) = _gold(spark, sf_dir, "repo_daily")
-    ordered = daily.select("event_date", "repo_id", "event_count").orderBy("event_date", "repo_id")
-    return serving.limit_rows(ordered, 1000)
-
-
 @query
 def topn_summary(spark, sf_dir):
     return serving.topn_summary(_ranking(spark, sf_dir))
@@ -451,8 +458,15 @@ def repo_metrics_5min(spark, sf_dir):
 
 @query
 def repo_metrics_5min_sketch(spark, sf_dir):
-    """With sketched distinct actors; no exact SQL to compare with."""
-    return velocity.repo_metrics_5min(staged.silver(spark, sf_dir))
+    """With sketched distinct actors: how far they are off, as a bound."""
+    silver = staged.silver(spark, sf_dir)
+    keys = ["repo_id", "ts_5min"]
+    exact = velocity.repo_metrics_5min(silver, approximate=False).select(
+        *keys, F.col("unique_actors").alias("exact")
+    )
+    sketched = velocity.repo_metrics_5min(silver).join(exact, keys)
+    near = F.abs(F.col("unique_actors") - F.col("exact")) <= F.greatest(F.lit(1), F.col("exact") * 0.2)
+    return sketched.select(*keys, "commit_count", near.alias("within_bound"))
 
 
 @query
@@ -533,7 +547,7 @@ def cache_repo_insight(spark, sf_dir):
         "date",
         "repo_name",
         "category",
-        F.length("repo_insight_markdown").alias("cached_chars"),
+        F.md5("repo_insight_markdown").alias("cached_md5"),
         "repo_insight_generated_at",
     )
 
@@ -560,8 +574,34 @@ def _document_root(spark, sf_dir):
 
 @query
 def index_stats(spark, sf_dir):
-    """Stored documents and bytes."""
-    return documents.index_stats(spark, _document_root(spark, sf_dir))
+    """Stored documents, and whether they take up bytes."""
+    stats = documents.index_stats(spark, _document_root(spark, sf_dir))
+    return stats.select("doc_count", (F.col("size_bytes") > 0).alias("has_bytes"))
+
+
+@query
+def get_repo_insight(spark, sf_dir):
+    """Point lookups of the texts cached on one day's documents."""
+    docs = feed.documents(spark, sf_dir)
+    texts = docs.select("date", "repo_name", F.col("insight_markdown").alias("repo_insight_markdown"))
+    made = F.lit("2024-02-03 00:00:00").cast("timestamp_ntz")
+    stored = documents.cache_repo_insight(docs, texts, made)
+    first = docs.agg(F.min(F.struct(F.col("repo_id").cast("bigint"), "date", "repo_name")).alias("k")).first().k
+    found = documents.get_repo_insight(stored, first.date, first.repo_name)
+    return found.select("date", "repo_name", F.md5("repo_insight_markdown").alias("insight_md5"))
+
+
+@query
+def upsert_docs_twice(spark, sf_dir):
+    """Unordered updates, several to a key, folded and applied twice over."""
+    base = feed.documents(spark, sf_dir)
+    new = base.withColumn("repo_name", F.concat(F.lit("many/"), (F.col("event_count") % 50).cast("string")))
+    once = documents.upsert_docs(base, new)
+    return (
+        documents.upsert_docs(once, new)
+        .groupBy("date", "repo_name")
+        .agg(F.count(F.lit(1)).alias("rows"), F.max("rank_score").alias("rank_score"))
+    )
 
 
 def _token_index(spark, sf_dir):
@@ -569,7 +609,7 @@ def _token_index(spark, sf_dir):
     staged.once(
         root, "tokens", lambda: search.write_token_index(feed.documents(spark, sf_dir), f"{root}/tokens")
     )
-    return spark.read.parquet(f"{root}/tokens/postings"), spark.read.parquet(f"{root}/tokens/lengths")
+    return spark.read.parquet(f"{root}/tokens/postings"), spark.read.parquet(f"{root}/tokens/fields")
 
 
 @query
@@ -583,7 +623,19 @@ def build_token_index(spark, sf_dir):
 
 @query
 def search_documents(spark, sf_dir):
-    return search.search(*_token_index(spark, sf_dir), SEARCH_QUERY, 20)
+    found = search.search_documents(
+        *_token_index(spark, sf_dir), feed.documents(spark, sf_dir), SEARCH_QUERY, 20
+    )
+    return found.select(
+        "date",
+        "repo_name",
+        "score",
+        "rank",
+        "total",
+        "event_count",
+        "rank_score",
+        F.md5("insight_markdown").alias("insight_md5"),
+    )
 
 
 @query
@@ -646,6 +698,12 @@ def repo_enriched(spark, sf_dir):
 # --- text ---------------------------------------------------------------
 
 
+def quoted(text):
+    """A whole text as the inside of a JSON string: quotes, newlines, every letter."""
+    json = F.to_json(F.struct(text.alias("t")))
+    return F.substr(json, F.lit(7), F.length(json) - 8)
+
+
 def _answers(spark, sf_dir):
     """A classifier-like answer around each whole text, in six shapes."""
     docs = feed.read_table(spark, sf_dir, "documents")
@@ -664,8 +722,7 @@ def _answers(spark, sf_dir):
     ]
     shape = (F.col("doc_id") % len(shapes)).cast("int")
     before, after = (F.get(F.array(*[F.lit(pair[i]) for pair in shapes]), shape) for i in (0, 1))
-    plain = F.regexp_replace("text", "[^A-Za-z0-9]+", " ")
-    return docs.select("doc_id", F.concat(before, plain, after).alias("answer"))
+    return docs.select("doc_id", F.concat(before, quoted(F.col("text")), after).alias("answer"))
 
 
 @query
@@ -679,12 +736,11 @@ def parse_category_response(spark, sf_dir):
 def parse_batch_response(spark, sf_dir):
     """Three objects and a stray number around each whole text."""
     docs = feed.read_table(spark, sf_dir, "documents")
-    plain = F.regexp_replace("text", "[^A-Za-z0-9]+", " ")
     body = F.concat(
         F.lit('[{"repo_name":" '),
         F.col("source"),
         F.lit('/a ","category":"Web","confidence":0.78,"reasoning":"'),
-        plain,
+        quoted(F.col("text")),
         F.lit('"},{"repo_name":"'),
         F.col("source"),
         F.lit('/b","category":"Nope","confidence":"high"},42,{"category":"Game","confidence":2}]'),
@@ -816,17 +872,24 @@ def classify_by_rules(spark, sf_dir):
 
 @query
 def classify_repos(spark, sf_dir):
-    """A user function over every document that has no category yet."""
+    """A user function over every document that has no category yet.
+
+    It answers by name and in another order, leaves names that end in 7 out,
+    and gives unknown categories and confidences out of range.
+    """
 
     def by_length(batch: pd.DataFrame) -> pd.DataFrame:
-        long = batch["excerpt"].str.len() >= 800
-        return pd.DataFrame(
+        size = batch["excerpt"].str.len()
+        answer = pd.DataFrame(
             {
-                "category": long.map({True: "Infra", False: "Web"}),
-                "confidence": 0.5,
-                "reasoning": "excerpt length",
+                "date": batch["date"],
+                "repo_name": batch["repo_name"],
+                "category": (size % 3).map({0: "Infra", 1: "Web", 2: "Cooking"}),
+                "confidence": (size % 5) - 1.5,
+                "reasoning": size.astype(str) + " characters",
             }
         )
+        return answer[~batch["repo_name"].str.endswith("7")].iloc[::-1]
 
     rows = classify.unclassified_rows(feed.documents(spark, sf_dir))
     return classify.classify_repos(rows, by_length)
@@ -939,6 +1002,34 @@ def stream_pulse(spark, sf_dir):
     return pulse.minute_activity(sinks.read_grain(spark, f"{out}/grain"))
 
 
+@query
+def stream_pulse_restart(spark, sf_dir):
+    """Two streams with a checkpoint each over two halves of the topic, one table."""
+    out = new_stage_path(spark, "pulse")
+    live = feed.bronze_live(spark, sf_dir).withColumnRenamed("ingested_at", "_ingested_at")
+    for half in (0, 1):
+        part = live.where(F.pmod(F.xxhash64("id", "_ingested_at"), F.lit(2)) == half)
+        bronze.write_jsonl_gz(part.drop(*HOUR_PARTS), f"{out}/topic-{half}", partitioned=False)
+        stream = source.file_source(spark, f"{out}/topic-{half}")
+        sinks.pulse_sink(
+            stream, f"{out}/grain", f"{out}/checkpoint-{half}", {"availableNow": True}, folder="day"
+        ).awaitTermination()
+    return pulse.minute_activity(sinks.read_grain(spark, f"{out}/grain"))
+
+
+@query
+def backfill_keeps_days(spark, sf_dir):
+    """All marts built, then rebuilt from the first half of the month: the rest stays."""
+    root = new_stage_path(spark, "lake")
+    silver = staged.silver(spark, sf_dir)
+    for part in (silver, silver.where("day <= '15'")):
+        if part is not silver:
+            paths.delete_path(spark, f"{root}/silver/events")
+        tables.write_silver(part, root, parts=DAY_PARTS)
+        daily.backfill_gold(spark, root)
+    return tables.read_gold(spark, root, "repo_daily").select("event_date", "repo_id", "event_count")
+
+
 @query
 def stream_bronze_sink(spark, sf_dir):
     """Live events landed by a stream, counted per hour folder."""
@@ -951,20 +1042,3 @@ def stream_bronze_sink(spark, sf_dir):
     return landed.groupBy(*HOUR_PARTS).agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids")
     )
-
-
-@query
-def stream_windowed_pulse(spark, sf_dir):
-    """Minutes a stateful stream has closed, counts only (distincts are sketched)."""
-    out = new_stage_path(spark, "windowed")
-    minutes = sinks.windowed_pulse(source.file_source(spark, _live_files(spark, sf_dir)))
-    (
-        minutes.writeStream.format("parquet")
-        .option("path", f"{out}/minutes")
-        .option("checkpointLocation", f"{out}/checkpoint")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    return spark.read.parquet(f"{out}/minutes").select("minute", "events", "push_count", "watch_count")

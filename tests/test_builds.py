@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from tests.conftest import event, rows_of, write_lines
 from tidemark.operators import quality
 from tidemark.operators.events import silver_events
+from tidemark.plans import daily
 from tidemark.plans.daily import build_gold, build_silver
 from tidemark.plans.hourly import build_hour, target_hour
 from tidemark.sources import bronze, catalog, tables
-from tidemark.sources.paths import child_names, path_exists
+from tidemark.sources.paths import child_names, day_path, delete_path, path_exists
 
 D14, D15 = "2024-01-14", "2024-01-15"
 
@@ -199,3 +200,37 @@ def test_sources_report(spark, lake):
     assert found == [("10", 2, 5), ("11", 0, 3)]
     assert quality.verify_silver(tables.read_silver(spark, lake)).count() == 0
     assert quality.silver_ready(tables.read_silver(spark, lake)).where(F.col("cnt") > 0).isEmpty()
+
+
+def test_a_half_landed_hour_lands_again(spark, tmp_path):
+    source, root = str(tmp_path / "file.json"), str(tmp_path / "bronze/archive")
+    write_lines(source, [event("1")])
+    partial = tmp_path / "bronze/archive/year=2024/month=01/day=15/hour=03/part-0.txt"
+    write_lines(partial, ["cut"])  # data, but no completion marker
+    assert bronze.append_archive_hour(spark, source, root, D15, 3) is True
+    assert bronze.append_archive_hour(spark, source, root, D15, 3) is False
+    assert bronze.read_bronze_archive(spark, root, D15, 3).count() == 1
+
+
+def test_backfills_keep_other_days_and_refuse_empty_input(spark, lake):
+    for day in (D14, D15):
+        build_silver(spark, lake, day)
+    build_gold(spark, lake, D14)
+    build_gold(spark, lake, D15)
+    before = everything(spark, lake)
+    delete_path(spark, day_path(f"{lake}/silver/events", D14))
+    daily.backfill_gold(spark, lake)
+    assert everything(spark, lake) == before
+    delete_path(spark, f"{lake}/silver")
+    with pytest.raises(quality.EmptyLayerError):
+        daily.backfill_gold(spark, lake)
+    assert everything(spark, lake) == before
+
+
+def test_the_hourly_build_keeps_its_rejects(spark, lake):
+    land(lake, "live", D15, 11, [event("x", created=f"{D15}T11:05:00Z", _ingested_at=f"{D15}T11:05:30Z")])
+    build_hour(spark, lake, D15, 11)
+    kept = spark.read.parquet(f"{lake}/quarantine_hourly")
+    assert kept.where("_corrupt_record = '{broken'").count() == 1
+    build_hour(spark, lake, D15, 11)
+    assert spark.read.parquet(f"{lake}/quarantine_hourly").count() == kept.count()

@@ -182,5 +182,40 @@ def test_daily_insights_ranks_classifies_and_indexes(spark, tmp_path):
     assert found["o/llm-1"].category_reasoning == "kept"
     insights.write_repo_enriched(spark, root, DAY, "rules")
     enriched = tables.read_gold(spark, root, "repo_enriched", DAY)
-    assert rows_of(enriched, "repo_id", "category", "bedrock_model_id") == [(0, "AI/ML", "rules"), (1, "Web", "rules"), (2, "AI/ML", "rules")]
+    assert rows_of(enriched, "repo_id", "category", "model_id") == [(0, "AI/ML", "rules"), (1, "Web", "rules"), (2, "AI/ML", "rules")]
     assert insights.daily_insights(spark, root, "2024-01-16").isEmpty()
+
+
+def test_updates_of_one_key_without_an_order_leave_one_row(spark, tmp_path):
+    root = str(tmp_path)
+    new = docs(spark, {"repo_name": "o/a", "rank_score": 1.0, "event_count": 1}, {"repo_name": "o/a", "rank_score": 2.0, "event_count": 2},
+               {"repo_name": None, "event_count": 3}, {"repo_name": None, "event_count": 3})
+    for _ in range(3):
+        documents.index_daily(spark, root, new, DAY)
+    assert rows_of(read_documents(spark, root), "repo_name", "event_count") == [("o/a", 2), (None, 3)]
+
+
+def rows_to_classify(spark, *names):
+    return spark.createDataFrame([(DAY, n, "PushEvent", 1, "") for n in names],
+                                 "date string, repo_name string, dominant_event_type string, event_count int, excerpt string")
+
+
+def test_answers_are_checked_and_missing_ones_fail(spark):
+    def few(batch):
+        return pd.DataFrame({"date": DAY, "repo_name": ["b", "a"], "category": ["Cooking", None], "confidence": [9.0, 0.1], "reasoning": ["r", "s"]})
+
+    found = rows_of(classify.classify_repos(rows_to_classify(spark, "a", "b", "c").coalesce(1), few), "repo_name", "category", "confidence", "failed")
+    assert found == [("a", None, None, True), ("b", "Other", 1.0, False), ("c", None, None, True)]
+
+    def one(batch):  # too few answers without names: asked again row by row
+        return pd.DataFrame({"category": ["Web"], "confidence": ["high"], "reasoning": [batch["repo_name"].iloc[0]]})
+
+    found = rows_of(classify.classify_repos(rows_to_classify(spark, "a", "b").coalesce(1), one), "repo_name", "category", "confidence", "reasoning", "failed")
+    assert found == [("a", "Web", 0.0, "a", False), ("b", "Web", 0.0, "b", False)]
+
+
+def test_rules_need_whole_words(spark):
+    names = {"o/client": "Other", "o/my-bottle": "Other", "o/rebuilding": "Other", "o/cloudy": "Other", "o/sdk_x": "DevTools"}
+    found = classify.classify_repos(rows_to_classify(spark, *names))
+    assert dict(rows_of(found, "repo_name", "category")) == names
+    assert {r.reasoning for r in found.where("repo_name != 'o/sdk_x'").collect()} == {"no rule matched"}

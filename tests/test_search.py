@@ -22,7 +22,8 @@ def corpus(spark, texts):
 
 def index_of(spark, texts):
     docs = corpus(spark, texts)
-    return search.build_token_index(docs), search.doc_lengths(docs)
+    index = search.build_token_index(docs)
+    return index, search.field_stats(index)
 
 
 def test_tokens(spark):
@@ -77,7 +78,7 @@ def test_scores_equal_brute_force_with_a_token_in_every_document(spark, tmp_path
     ]
     docs = corpus(spark, texts)
     search.write_token_index(docs, str(tmp_path))
-    stored = [spark.read.parquet(f"{tmp_path}/{t}") for t in ("postings", "lengths")]
+    stored = [spark.read.parquet(f"{tmp_path}/{t}") for t in ("postings", "fields")]
     for query in ("the", "agent the", "rust snake_case naïve"):
         want = brute_force(texts, query.split())
         got = {(r.date, r.repo_name): r.score for r in search.matches(*stored, query.split()).collect()}
@@ -89,6 +90,14 @@ def test_scores_equal_brute_force_with_a_token_in_every_document(spark, tmp_path
 
 
 def test_index_counts(spark):
-    index, lengths = index_of(spark, [("d", "o/a", "the The x"), ("d", "o/b", "")])
+    index, fields = index_of(spark, [("d", "o/a", "the The x"), ("d", "o/b", "")])
     assert rows_of(index.where("field = 'body'"), "token", "tf", "dl") == [("the", 2, 3), ("x", 1, 3)]
-    assert rows_of(lengths, "repo_name", "field", "dl") == [("o/a", "body", 3), ("o/a", "name", 2), ("o/b", "name", 2)]
+    assert rows_of(fields, "field", "docs", "avg_dl") == [("body", 1, 3.0), ("name", 2, 2.0)]
+
+
+def test_hits_are_documents(spark):
+    texts = [("d1", "o/agent", "rust only"), ("d2", "o/none", "a rust agent"), ("d2", "o/x", "agent")]
+    found = search.search_documents(*index_of(spark, texts), corpus(spark, texts), "agent", 2)
+    assert rows_of(found, "rank", "repo_name", "total", "insight_markdown") == [
+        (1, "o/agent", 3, "rust only"), (2, "o/x", 3, "agent"),
+    ]

@@ -159,4 +159,3 @@ def test_available_dates_and_limit(spark):
     daily = mart(spark, [("2024", "01", f"{d:02d}") for d in range(1, 32) for _ in range(2)], "year string, month string, day string")
     dates = [r[0] for r in serving.available_dates(daily).collect()]
     assert len(dates) == 30 and dates[0] == "2024-01-31" and dates[-1] == "2024-01-02"
-    assert serving.limit_rows(daily, 5).count() == 5

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import time
 
 from pyspark.sql import functions as F
 
@@ -73,12 +74,28 @@ def test_stream_equals_batch_and_restarts_add_nothing(spark, tmp_path):
     run_pulse(spark, tmp_path)
     # a late event and one that closes the hour arrive after a restart
     write_lines(tmp_path / "in/c.json", [ROWS[6], arrived(2, id="late", name="o/late")])
+    intake = sinks.Intake()
+    spark.streams.addListener(intake)
     query = run_pulse(spark, tmp_path)
+    wait = time.time() + 20
+    while intake.messages.get(str(query.id), 0) < 2 and time.time() < wait:
+        time.sleep(0.1)  # listeners hear of a batch a moment later
+    spark.streams.removeListener(intake)
     grain = sinks.read_grain(spark, f"{tmp_path}/grain")
     want = pulse.minute_activity(grain_of(spark, [*ROWS, arrived(2, id="late", name="o/late")]))
     assert rows_of(pulse.minute_activity(grain)) == rows_of(want)
-    health = sinks.stream_health(query)
-    assert health["active"] is False and health["messages"] == 2
+    health = sinks.stream_health(query, intake)
+    assert health["active"] is False and health["messages"] == 2 and health["lag_seconds"] >= 0
+
+
+def test_a_new_checkpoint_adds_to_what_is_stored(spark, tmp_path):
+    grain = f"{tmp_path}/grain"
+    for part, rows in (("one", ROWS[:4]), ("two", ROWS[4:])):
+        write_lines(tmp_path / part / "a.json", rows)
+        stream = source.file_source(spark, f"{tmp_path}/{part}")
+        sinks.pulse_sink(stream, grain, f"{tmp_path}/check-{part}", ONCE).awaitTermination()
+    stored = pulse.minute_activity(sinks.read_grain(spark, grain))
+    assert rows_of(stored) == rows_of(pulse.minute_activity(grain_of(spark, ROWS)))
 
 
 def test_a_replayed_batch_replaces_itself(spark, tmp_path):
@@ -114,16 +131,6 @@ def test_bronze_sink_lands_each_event_once(spark, tmp_path):
     assert json.loads(payload) == {"n": 4}
 
 
-def test_windowed_pulse_closes_minutes_by_watermark(spark, tmp_path):
-    write_lines(tmp_path / "in/a.json", ROWS)
-    write_lines(tmp_path / "in/b.json", [arrived(60, 59, id="x"), event("far", _ingested_at="2024-01-15T12:00:00Z")])
-    stream = sinks.windowed_pulse(source.file_source(spark, f"{tmp_path}/in", files_per_batch=1))
-    out = f"{tmp_path}/out"
-    stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{tmp_path}/check").outputMode("append").trigger(**ONCE).start().awaitTermination()
-    found = {r.minute.strftime("%H:%M"): (r.events, r.unique_repos, r.watch_count) for r in spark.read.parquet(out).collect()}
-    assert found["10:57"] == (2, 1, 2) and found["11:00"] == (2, 2, 0) and "12:00" not in found
-
-
 def test_records_are_stamped_and_keyed(spark):
     frame = bronze_frame(spark, [event("1", repo=42)])
     row = source.stamp_and_key(frame.select("id", "type", "repo")).first()
@@ -136,5 +143,27 @@ def test_records_are_stamped_and_keyed(spark):
 def test_topic_values_decode(spark):
     values = [json.dumps(event("1", _ingested_at="x", payload={"a": 1})), "not json", "[1]", "3", "null", None]
     records = spark.createDataFrame([(v.encode() if v else None,) for v in values], "value binary")
-    decoded = source.decode(records).collect()
-    assert [(r.id, r.payload, r._ingested_at) for r in decoded] == [("1", '{"a":1}', "x")]
+    decoded = source.decode(records)
+    assert [(r.id, r.payload, r._ingested_at) for r in source.readable(decoded).collect()] == [("1", '{"a":1}', "x")]
+    assert rows_of(source.rejects(decoded)) == [("3",), ("[1]",), ("not json",), ("null",)]
+
+
+def test_cut_lines_are_kept_by_the_reject_sink(spark, tmp_path):
+    whole = json.dumps(event("1", _ingested_at="2024-01-15T05:00:00Z"))
+    write_lines(tmp_path / "in/a.json", [whole, whole[:40]])
+    stream = source.file_source(spark, f"{tmp_path}/in")
+    sinks.bronze_sink(stream, f"{tmp_path}/out", f"{tmp_path}/check", ONCE).awaitTermination()
+    sinks.reject_sink(stream, f"{tmp_path}/bad", f"{tmp_path}/check-bad", ONCE).awaitTermination()
+    assert bronze.read_bronze_live(spark, f"{tmp_path}/out").count() == 1
+    assert rows_of(spark.read.text(f"{tmp_path}/bad")) == [(whole[:40],)]
+
+
+def test_an_unreadable_arrival_still_counts(spark):
+    rows = [event("1", _ingested_at="?", created="2024-01-15T10:05:00Z"), event("2", _ingested_at=None, created="?")]
+    assert rows_of(grain_of(spark, rows), "minute", "n") == [(dt.datetime(1970, 1, 1), 1), (dt.datetime(2024, 1, 15, 10, 5), 1)]
+
+
+def test_the_window_filter_reaches_the_scan(spark, tmp_path):
+    sinks.write_grain_batch(bronze_frame(spark, ROWS, live=True).withColumnRenamed("ingested_at", "_ingested_at"), 0, f"{tmp_path}/g")
+    plan = pulse.pulse_totals(sinks.read_grain(spark, f"{tmp_path}/g", sinks.recent_periods(NOW, 60)), NOW)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(minute" in plan and "Join" not in plan

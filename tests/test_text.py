@@ -21,7 +21,7 @@ SINGLE = {
     '{"category": "Cooking", "confidence": 0.4, "reasoning": null}': ("Other", 0.4, "None"),
     '{"confidence": "high"}': ("Other", 0.0, ""),
     '{"category": "Web", "confidence": null}': ("Web", 0.0, ""),
-    '{"category": "Web", "reasoning": "' + "é" * 300 + '"}': ("Web", 0.0, "é" * 200),
+    '{"category": "Web", "reasoning": "' + "é" * 300 + '"}': ("Web", 0.0, "é" * 300),
     '{"category": "Web"} and {"category": "Game"}': FAILED,
     '{"category": "Web", }': FAILED,
     "{'category': 'Web'}": FAILED,
@@ -66,7 +66,7 @@ SECTIONS = [
     ("head", "o/a", ""),
     ("", "o/a", ""),
     (None, "o/a", ""),
-    ("x\n#### o/a " + "y" * 2000, "o/a", "#### o/a " + "y" * 791),
+    ("x\n#### o/a " + "y" * 2000, "o/a", "#### o/a " + "y" * 2000),
 ]
 
 
@@ -105,8 +105,10 @@ def test_rank_table(spark):
     frame = spark.createDataFrame(
         rows, "event_date date, rank int, repo_name string, event_count bigint, dominant_event_type string, "
         "acceleration_ratio double, anomaly_score double, watch_zscore double")
-    table = prompts.rank_table_markdown(frame).first().repo_table.split("\n")
+    table = prompts.rank_table_markdown(frame, 10).first().repo_table.split("\n")
     assert table[:2] == prompts.TABLE_HEAD
     assert table[2:] == ["| 1 | o/a | 9 | PushEvent | 2.00 | -0.00 | 3.00 |", "| 2 | o/b | 5 | None | 0.00 | 1.50 | 0.00 |"]
-    lines = prompts.repo_lines(frame).first()
+    assert prompts.rank_table_markdown(frame).first().repo_table.count("\n") == 4
+    assert prompts.repo_lines(frame).first().n == 3
+    lines = prompts.repo_lines(frame, 10).first()
     assert lines.n == 2 and lines.repo_lines.startswith("- o/a (주요 활동: PushEvent, 활동수: 9)\n- o/b")

@@ -11,7 +11,6 @@ USER_MARK = "## user_template"
 SYSTEM_MARK = "## system"
 SECTION_MARK = "\n#### "
 MISSING = "—"
-EXCERPT_CHARS = 800
 
 # Head of the ranking table.
 TABLE_HEAD = [
@@ -82,21 +81,25 @@ def repo_insight_values() -> dict[str, Column]:
 
 
 def extract_repo_section(
-    markdown: Column, repo_name: Column, max_chars: int = EXCERPT_CHARS
+    markdown: Column, repo_name: Column, max_chars: int | None = None
 ) -> Column:
-    """The first '####' section that names the repository, or ''."""
+    """The first '####' section that names the repository, or ''.
+
+    Whole by default; ``max_chars`` is for callers with a prompt budget.
+    """
     parts = F.split(markdown, SECTION_MARK)
     part = F.get(F.filter(parts, lambda p: F.contains(p, repo_name)), 0)
     headed = F.when(F.startswith(part, F.lit("#")), part).otherwise(F.concat(F.lit("#### "), part))
     trimmed = F.regexp_replace(headed, r"^\s+|\s+$", "")
-    return F.coalesce(F.left(trimmed, F.lit(max_chars)), F.lit(""))
+    cut = trimmed if max_chars is None else F.left(trimmed, F.lit(max_chars))
+    return F.coalesce(cut, F.lit(""))
 
 
-def rank_table_markdown(ranked: DataFrame, n: int = 10) -> DataFrame:
+def rank_table_markdown(ranked: DataFrame, n: int | None = None) -> DataFrame:
     """The ranking of each date as one numbered text table.
 
-    ``ranked`` is a ranking with its ``rank``; a table holds at most n lines,
-    so the lists collected here are short.
+    ``ranked`` is a ranking with its ``rank``: a date's table has as many
+    lines as the ranking kept for it, or the best n of them.
     """
     zero = F.lit(0.0)
     line = F.concat(
@@ -115,14 +118,19 @@ def rank_table_markdown(ranked: DataFrame, n: int = 10) -> DataFrame:
     head = F.lit("\n".join(TABLE_HEAD))
     body = F.array_join(F.transform(lines, lambda row: row.getField("line")), "\n")
     return (
-        ranked.where(F.col("rank") <= n)
+        best(ranked, n)
         .groupBy("event_date")
         .agg(F.concat(head, F.lit("\n"), body).alias("repo_table"))
     )
 
 
-def repo_lines(ranked: DataFrame, n: int = 10) -> DataFrame:
+def best(ranked: DataFrame, n: int | None) -> DataFrame:
+    return ranked if n is None else ranked.where(F.col("rank") <= n)
+
+
+def repo_lines(ranked: DataFrame, n: int | None = None) -> DataFrame:
     """One bullet per ranked repository and the number of them, per date."""
+    # fixed values: the wording of a line
     line = F.concat(
         F.lit("- "),
         F.col("repo_name"),
@@ -135,7 +143,7 @@ def repo_lines(ranked: DataFrame, n: int = 10) -> DataFrame:
     lines = F.array_sort(F.collect_list(F.struct(F.col("rank"), line.alias("line"))))
     body = F.array_join(F.transform(lines, lambda row: row.getField("line")), "\n")
     return (
-        ranked.where(F.col("rank") <= n)
+        best(ranked, n)
         .groupBy("event_date")
         .agg(F.count(F.lit(1)).alias("n"), body.alias("repo_lines"))
     )

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 # The categories a repository may have.
 CATEGORIES = ["AI/ML", "Web", "Infra", "DevTools", "Game", "Other"]
-REASONING_CHARS = 200
 PARSE_FAILED = "JSON parse failed"
 
 _JSON = {"allowSingleQuotes": "false"}
@@ -82,7 +81,7 @@ def _answer(members: Column) -> list[Column]:
     return [
         _category(members).alias("category"),
         _confidence(members).alias("confidence"),
-        F.left(_text(members, "reasoning"), F.lit(REASONING_CHARS)).alias("reasoning"),
+        _text(members, "reasoning").alias("reasoning"),
     ]
 
 

@@ -9,19 +9,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.prompts import extract_repo_section
-from tidemark.functions.responses import let
+from tidemark.functions.responses import CATEGORIES, let
 from tidemark.operators.documents import KEY, only_unclassified, partial_upsert
 
-# Name fragments of each category, first match wins.
-NAME_RULES = [
-    ("Other", r"(^|[-_./])(test|tests|bot|e2e)([-_./]|$)|[-_]bot"),
-    ("DevTools", r"\bwarp\b|n8n|zapier|mattpocock/skills"),
-    ("AI/ML", r"llm|neural|gpt|agent|codex|nn-zero|diffusion|transformer|machine-?learning"),
-    ("Infra", r"kube|docker|terraform|postgres|redis|kafka|grafana|cloud|spark"),
-    ("Web", r"react|nuxt|vue|svelte|tailwind|shadcn|django|next\.?js|http"),
-    ("Game", r"godot|unreal|unity|game"),
-    ("DevTools", r"cli|sdk|lint|compiler|vscode|editor|build|plugin"),
+# Whole words of a lower-cased name or text, first match wins.
+NAME_WORDS = [
+    ("Other", "tests?|bots?|e2e"),
+    ("DevTools", "warp|n8n|zapier|mattpocock/skills"),
+    ("AI/ML", "llms?|neural|gpt|agents?|codex|nn-zero|diffusion|transformers?|machine-?learning"),
+    ("Infra", "kube|kubectl|kubernetes|docker|terraform|postgres|redis|kafka|grafana|cloud|spark"),
+    ("Web", r"react|nuxt|vue|svelte|tailwind|shadcn|django|next\.?js|https?"),
+    ("Game", "godot|unreal|unity|games?"),
+    ("DevTools", "cli|sdk|lint|linter|compiler|vscode|editor|build|plugins?"),
 ]
+# letters and digits belong to a word; what separates words (also _ and -) does not
+NAME_RULES = [(category, rf"(?<![a-z0-9])({words})(?![a-z0-9])") for category, words in NAME_WORDS]
 
 CLASSIFIED = (
     "date string, repo_name string, category string, confidence double, reasoning string, failed boolean"
@@ -40,7 +42,7 @@ def _first_rule(text: Column, confidence: float) -> Column:
             found = F.struct(
                 F.lit(category).alias("category"),
                 F.lit(confidence).alias("confidence"),
-                F.concat(F.lit("matched "), F.regexp_extract(lowered, f"({pattern})", 1)).alias(
+                F.concat(F.lit("matched "), F.regexp_extract(lowered, pattern, 1)).alias(
                     "reasoning"
                 ),
             )
@@ -73,10 +75,13 @@ def classify_repos(rows: DataFrame, fn: Classifier | None = None) -> DataFrame:
     """Category of each row (date, repo_name, dominant type, count, excerpt).
 
     ``fn`` maps a pandas batch to one with category, confidence and
-    reasoning, row by row; it runs in the executors on Arrow batches. A
-    batch it fails on is retried row by row, and rows it still fails on come
-    back with ``failed`` set. Without ``fn`` the name rules are used, which
-    stay in the JVM.
+    reasoning; it runs in the executors on Arrow batches. Its answers are
+    matched by their ``date`` and ``repo_name`` columns when it returns them,
+    else by position, which needs as many answers as rows. A batch it fails on
+    (or answers in another number) is retried row by row. Rows without an
+    answer, or whose category is NULL, come back with ``failed`` set. Unknown
+    categories become Other, confidences are clamped to 0..1 (unreadable: 0).
+    Without ``fn`` the name rules are used, which stay in the JVM.
     """
     if fn is None:
         answer = keyword_category(F.col("repo_name"), F.col("excerpt"))
@@ -85,9 +90,25 @@ def classify_repos(rows: DataFrame, fn: Classifier | None = None) -> DataFrame:
     columns = CLASSIFIED_COLUMNS
 
     def run(batch: pd.DataFrame) -> pd.DataFrame:
-        answer = fn(batch)[["category", "confidence", "reasoning"]]
-        keyed = batch[KEY].reset_index(drop=True)
-        return pd.concat([keyed, answer.reset_index(drop=True)], axis=1).assign(failed=False)
+        keyed, answer = batch[KEY].reset_index(drop=True), fn(batch).reset_index(drop=True)
+        fields = ["category", "confidence", "reasoning"]
+        if set(KEY) <= set(answer.columns):
+            named = answer[KEY + fields].drop_duplicates(KEY, keep="last")
+            found = keyed.merge(named, on=KEY, how="left")
+        elif len(answer) == len(keyed):
+            found = pd.concat([keyed, answer[fields]], axis=1)
+        else:
+            raise ValueError(f"{len(answer)} answers to {len(keyed)} rows")
+        given = found["category"].notna()
+        confidence = pd.to_numeric(found["confidence"], errors="coerce").fillna(0.0).clip(0.0, 1.0)
+        known = found["category"].where(found["category"].isin(CATEGORIES), "Other")
+        reasoning = found["reasoning"].map(lambda x: "" if pd.isna(x) else str(x))
+        return found.assign(
+            category=known.where(given, None),
+            confidence=confidence.astype(float).where(given),
+            reasoning=reasoning.where(given, None),
+            failed=~given,
+        )
 
     def run_rows(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         for position in range(len(batch)):

@@ -39,6 +39,13 @@ def fold_updates(updates: DataFrame, present: Mapping[str, Column], seq: Column)
     return folded
 
 
+def default_order(updates: DataFrame) -> Column:
+    """Order of updates that come without one: the best ranked is applied last."""
+    score = F.col("rank_score") if "rank_score" in updates.columns else F.lit(None).cast("double")
+    content = F.to_json(F.struct(*sorted(updates.columns)), {"ignoreNullFields": "false"})
+    return F.struct(F.coalesce(score, F.lit(float("-inf"))), F.sha2(content, 256))
+
+
 def partial_upsert(
     base: DataFrame,
     updates: DataFrame,
@@ -49,21 +56,22 @@ def partial_upsert(
 
     ``present`` names the fields an update carries and, per row, whether it
     carries them. A carried NULL overwrites; a field not carried keeps its
-    old value. Without ``seq`` the update keys must be unique.
+    old value. Several updates of a key are applied in ``seq`` order, by
+    default worst rank first, then by their content: the result is one row per
+    key whatever the order of the rows. NULL is a key like any other.
     """
-    if seq is None:
-        folded = updates.select(
-            *KEY,
-            *[F.col(name) for name in present],
-            *[F.coalesce(g, F.lit(False)).alias(f"_has_{n}") for n, g in present.items()],
-        )
-    else:
-        folded = fold_updates(updates, present, seq)
-    renamed = folded.withColumnsRenamed({name: f"_new_{name}" for name in present})
-    merged = base.join(renamed, KEY, "full_outer")
+    folded = fold_updates(updates, present, default_order(updates) if seq is None else seq)
+    renamed = folded.withColumnsRenamed({name: f"_new_{name}" for name in [*present, *KEY]})
+    same = F.lit(True)
+    for name in KEY:
+        same = same & F.col(name).eqNullSafe(F.col(f"_new_{name}"))
+    merged = base.withColumn("_stored", F.lit(True)).join(renamed, same, "full_outer")
 
     def value(field) -> Column:
-        if field.name in KEY or field.name not in present:
+        if field.name in KEY:
+            kept = F.when(F.col("_stored"), F.col(field.name)).otherwise(F.col(f"_new_{field.name}"))
+            return kept.alias(field.name)
+        if field.name not in present:
             return F.col(field.name)
         new = F.col(f"_new_{field.name}").cast(field.dataType)
         return F.when(F.col(f"_has_{field.name}"), new).otherwise(F.col(field.name)).alias(field.name)

@@ -25,10 +25,16 @@ def pulse_events(bronze: DataFrame, arrived_at: str = "_ingested_at") -> DataFra
     """Arrival minute, type, repository and actor of each delivered event.
 
     A missing type is Unknown; an event without a repository still counts as
-    an event, only not as a repository.
+    an event, only not as a repository. An unreadable arrival gives way to the
+    event's own time, so that a replayed batch finds the same minute; without
+    either the minute is that of 1970, which no window shows but totals do.
     """
+    times = [utc_timestamp(F.col(arrived_at))]
+    if "created_at" in bronze.columns:
+        times.append(utc_timestamp(F.col("created_at")))
+    never = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return bronze.select(
-        minute_of(utc_timestamp(F.col(arrived_at))).alias("minute"),
+        minute_of(F.coalesce(*times, never)).alias("minute"),
         F.coalesce(F.nullif("type", F.lit("")), F.lit("Unknown")).alias("type"),
         F.nullif(F.col("repo.name"), F.lit("")).alias("repo_name"),
         F.col("actor.id").alias("actor_id"),
@@ -57,21 +63,29 @@ def minute_types(grain: DataFrame) -> DataFrame:
     return grain.groupBy("minute", "type").agg(F.sum("n").alias("events"))
 
 
+def last_minute(grain: DataFrame, now: dt.datetime | None) -> dt.datetime | None:
+    """The running minute: of ``now``, else of the newest row (one value)."""
+    if now is None:
+        return grain.agg(F.max("minute")).first()[0]
+    return now.replace(second=0, microsecond=0, tzinfo=None)
+
+
 def minute_spine(grain: DataFrame, now: dt.datetime | None, minutes: int) -> DataFrame:
     """The last ``minutes`` minutes up to ``now``, else up to the newest row."""
-    if now is None:
-        last = grain.agg(F.max("minute").alias("last"))
-    else:
-        floor = now.replace(second=0, microsecond=0, tzinfo=None)
-        last = grain.sparkSession.range(1).select(F.lit(floor.isoformat()).cast("timestamp_ntz").alias("last"))
-    first = F.timestamp_add("MINUTE", F.lit(1 - minutes), F.col("last"))
-    every = F.sequence(first, F.col("last"), F.expr("INTERVAL 1 MINUTE"))
-    return last.select(F.explode(every).alias("minute"))
+    last = last_minute(grain, now)
+    back = grain.sparkSession.range(0 if last is None else minutes).select(F.col("id").cast("int").alias("back"))
+    at = F.lit(None if last is None else last.isoformat()).cast("timestamp_ntz")
+    return back.select(F.timestamp_add("MINUTE", -F.col("back"), at).alias("minute"))
 
 
 def in_window(grain: DataFrame, now: dt.datetime | None, minutes: int) -> DataFrame:
-    """Grain rows of the window; the joined side has ``minutes`` rows."""
-    return grain.join(F.broadcast(minute_spine(grain, now, minutes)), "minute")
+    """Grain rows of the window, by literal bounds that reach the scan."""
+    last = last_minute(grain, now)
+    if last is None:
+        return grain.where(F.lit(False))
+    bounds = [(last - dt.timedelta(minutes=n)).isoformat() for n in (minutes - 1, 0)]
+    low, high = (F.lit(b).cast("timestamp_ntz") for b in bounds)
+    return grain.where((F.col("minute") >= low) & (F.col("minute") <= high))
 
 
 def pulse_minutes(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.documents import KEY
@@ -14,7 +14,6 @@ B = 0.75
 
 # letters, digits and '_' make up a token, everything else separates
 SEPARATORS = r"[^\p{L}\p{N}_]+"
-TOKEN = r"[\p{L}\p{N}_]+"
 
 
 def tokens(text: Column) -> Column:
@@ -30,15 +29,6 @@ def field_texts(docs: DataFrame) -> DataFrame:
     )
 
 
-def doc_lengths(docs: DataFrame) -> DataFrame:
-    """Tokens per document and field; empty fields do not count.
-
-    The tokens are counted in place, without a list of them.
-    """
-    count = F.regexp_count(F.lower(F.coalesce("text", F.lit(""))), F.lit(TOKEN))
-    return field_texts(docs).select(*KEY, "field", count.alias("dl")).where(F.col("dl") > 0)
-
-
 def build_token_index(docs: DataFrame) -> DataFrame:
     """(field, token, document, tf, dl) postings.
 
@@ -58,7 +48,7 @@ def build_token_index(docs: DataFrame) -> DataFrame:
 
 
 def write_token_index(docs: DataFrame, path: str) -> None:
-    """Store index and lengths; postings are sorted by token across files.
+    """Store postings, sorted by token across files, and the statistics of the fields.
 
     Range partitions on (token, document) cut a very common token into
     several files, and the sort lets a lookup skip row groups.
@@ -70,7 +60,16 @@ def write_token_index(docs: DataFrame, path: str) -> None:
         .write.mode("overwrite")
         .parquet(f"{path}/postings")
     )
-    doc_lengths(docs).write.mode("overwrite").parquet(f"{path}/lengths")
+    stored = docs.sparkSession.read.schema(index.schema).parquet(f"{path}/postings")
+    field_stats(stored).write.mode("overwrite").parquet(f"{path}/fields")
+
+
+def field_stats(index: DataFrame) -> DataFrame:
+    """Documents and mean length of each field; postings carry their document's length."""
+    lengths = index.groupBy(*KEY, "field").agg(F.max("dl").alias("dl"))
+    return lengths.groupBy("field").agg(
+        F.count(F.lit(1)).alias("docs"), F.avg("dl").alias("avg_dl")
+    )
 
 
 def query_tokens(spark: SparkSession, query: str) -> list[str]:
@@ -79,26 +78,23 @@ def query_tokens(spark: SparkSession, query: str) -> list[str]:
     return list(row["t"])
 
 
-def matches(index: DataFrame, lengths: DataFrame, terms: list[str]) -> DataFrame:
+def matches(index: DataFrame, fields: DataFrame, terms: list[str]) -> DataFrame:
     """Score of each document holding every term inside one field.
 
     BM25 per field, times the field's weight; the best field counts. The
-    term list filters the postings scan. Term and field statistics have one
-    row per (field, term) and per field, so they are broadcast.
+    term list filters the postings scan; ``fields`` are the statistics stored
+    with the index, one row per field.
     """
     hits = index.where(F.col("token").isin(terms))
     term_stats = hits.groupBy("field", "token").agg(F.count(F.lit(1)).alias("df"))
-    field_stats = lengths.groupBy("field").agg(
-        F.count(F.lit(1)).alias("docs"), F.avg("dl").alias("avg_dl")
-    )
-    stats = term_stats.join(F.broadcast(field_stats), "field")
+    stats = term_stats.join(fields, "field")
     idf = F.ln(1 + (F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = K1 * (1 - B + B * F.col("dl") / F.col("avg_dl"))
     weight = F.element_at(
         F.create_map(*[F.lit(v) for pair in FIELD_BOOST.items() for v in pair]), F.col("field")
     )
     per_field = (
-        hits.join(F.broadcast(stats), ["field", "token"])
+        hits.join(stats, ["field", "token"])
         .withColumn("part", idf * F.col("tf") / (F.col("tf") + norm))
         .groupBy(*KEY, "field")
         .agg(F.count(F.lit(1)).alias("found"), F.sum("part").alias("parts"))
@@ -108,16 +104,29 @@ def matches(index: DataFrame, lengths: DataFrame, terms: list[str]) -> DataFrame
     return per_field.groupBy(*KEY).agg(F.max("score").alias("score"))
 
 
-def search(index: DataFrame, lengths: DataFrame, query: str, size: int = 10) -> DataFrame:
+def search(index: DataFrame, fields: DataFrame, query: str, size: int = 10) -> DataFrame:
     """The ``size`` best documents for a query: score, then newest, then name."""
     terms = query_tokens(index.sparkSession, query)
     if not terms:
         return index.select(*KEY).where(F.lit(False)).withColumn("score", F.lit(0.0))
-    found = matches(index, lengths, terms).withColumn("score", F.round("score", 9))
+    found = matches(index, fields, terms).withColumn("score", F.round("score", 9))
     return found.orderBy(F.desc("score"), F.desc("date"), F.asc("repo_name")).limit(size)
 
 
-def search_total(index: DataFrame, lengths: DataFrame, query: str) -> DataFrame:
+def search_total(index: DataFrame, fields: DataFrame, query: str) -> DataFrame:
     """How many documents a query matches."""
     terms = query_tokens(index.sparkSession, query)
-    return matches(index, lengths, terms).agg(F.count(F.lit(1)).alias("total"))
+    return matches(index, fields, terms).agg(F.count(F.lit(1)).alias("total"))
+
+
+def search_documents(
+    index: DataFrame, fields: DataFrame, docs: DataFrame, query: str, size: int = 10
+) -> DataFrame:
+    """The best documents themselves, with score, rank and the number of all hits.
+
+    The hits are ``size`` keys; their dates prune the folders of ``docs``.
+    """
+    hits = search(index, fields, query, size)
+    order = Window.orderBy(F.desc("score"), F.desc("date"), F.asc("repo_name"))
+    ranked = hits.withColumn("rank", F.row_number().over(order))  # of ``size`` rows
+    return ranked.crossJoin(search_total(index, fields, query)).join(docs, KEY)

@@ -167,11 +167,6 @@ def available_dates(daily: DataFrame, limit: int = 30) -> DataFrame:
     return daily.select(text.alias("date_str")).distinct().orderBy(F.desc("date_str")).limit(limit)
 
 
-def limit_rows(rows: DataFrame, limit: int = 1000) -> DataFrame:
-    """Cap of a result shown to a caller."""
-    return rows.limit(limit)
-
-
 def topn_summary(ranked: DataFrame) -> DataFrame:
     """Size, events, mean score and highest watch z-score of each ranking."""
     return ranked.groupBy("event_date").agg(

@@ -109,8 +109,14 @@ def build_gold(spark: SparkSession, root: str, day: str) -> dict[str, int]:
 
 
 def backfill_gold(spark: SparkSession, root: str) -> None:
-    """All six marts for every silver day, one job per mart instead of per day."""
+    """All six marts for every silver day, one job per mart instead of per day.
+
+    Raises, changing nothing, when silver is empty; days that silver does not
+    hold keep their marts.
+    """
     silver = read_silver(spark, root)
+    if silver.isEmpty():
+        raise quality.EmptyLayerError("silver has no rows")
     from_events = {
         "repo_daily": marts.repo_daily,
         "actor_daily": marts.actor_daily,
@@ -130,6 +136,8 @@ def backfill_gold(spark: SparkSession, root: str) -> None:
 
 
 def backfill_hourly(archive: DataFrame, live: DataFrame, root: str) -> None:
-    """The hourly mart of every bronze hour at once."""
+    """The hourly mart of every bronze hour at once; other hours stay."""
+    if archive.isEmpty():
+        raise quality.EmptyLayerError("the archive has no rows")
     recent = with_date_parts(marts.hourly_recent(archive, live))
     write_gold(recent.withColumn("hour_p", F.format_string("%02d", "hour")), root, "hourly_recent")

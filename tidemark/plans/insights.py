@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.prompts import extract_repo_section
 from tidemark.functions.scalars import utc_now
 from tidemark.operators.classify import (
     Classifier,
@@ -66,7 +67,8 @@ def daily_insights(
         "repo_name",
         "dominant_event_type",
         "event_count",
-        F.lit(insight_markdown).cast("string").alias("excerpt"),
+        # a row is judged by its own section, not by its neighbours'
+        extract_repo_section(F.lit(insight_markdown).cast("string"), F.col("repo_name")).alias("excerpt"),
     )
     # a classifier may be costly and its answers may vary: run it once
     answers = _staged(spark, classify_repos(missing, classifier), "answers")
@@ -138,7 +140,7 @@ def repo_enriched(docs: DataFrame, model_id: str | None = None) -> DataFrame:
         "category_confidence",
         "category_reasoning",
         F.coalesce("repo_insight_markdown", "insight_markdown").alias("insight_markdown"),
-        F.lit(model_id).cast("string").alias("bedrock_model_id"),
+        F.lit(model_id).cast("string").alias("model_id"),
         F.coalesce("repo_insight_generated_at", "categorized_at", "indexed_at").alias("generated_at"),
     ).select(*GOLD["repo_enriched"].fieldNames())
 

@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-# beyond this the bookkeeping of a shuffle costs more than larger partitions do
-MOST_PARTITIONS = 100_000
-
-_local_dirs: dict[str, str] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -28,20 +23,18 @@ def configure(spark: SparkSession) -> SparkSession:
     }
     for key, value in settings.items():
         spark.conf.set(key, value)
-    if spark.sparkContext.master.startswith("local"):
-        # small tests: let AQE keep all cores busy on shuffles of a few MB
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
     return spark
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+def size_shuffles(spark: SparkSession, input_bytes: int, most: int | None = None) -> int:
     """Start shuffles with enough partitions for ``input_bytes``.
 
     AQE can only merge partitions, so the initial number has to be right for
     the largest shuffle of the job; small ones are coalesced afterwards.
+    ``most`` bounds them where a cluster's bookkeeping asks for it.
     """
     wanted = max(spark.sparkContext.defaultParallelism, -(-input_bytes // TARGET_PARTITION_BYTES))
-    wanted = min(wanted, MOST_PARTITIONS)
+    wanted = wanted if most is None else min(wanted, most)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
     return wanted
 
@@ -56,19 +49,13 @@ def path_bytes(spark: SparkSession, path: str) -> int:
 def shared_dir(spark: SparkSession) -> str:
     """Folder for staged tables: ``spark.checkpoint.dir`` of the session.
 
-    Only a local session without that setting gets a folder of its own; on a
-    cluster a machine-local folder would be lost with its executor.
+    There is no default: a machine-local folder would be lost with its executor.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     named = named or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="tidemark-")
-    return _local_dirs[app]
+    raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
 def new_stage_path(spark: SparkSession, name: str) -> str:

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import hour_parts
-from tidemark.session import path_bytes
 
 # Activity kind -> event type.
 EVENT_TYPES = {
@@ -38,19 +37,9 @@ PAYLOADS = [
 REPOSITORIES = 50
 
 
-# below this many bytes per core a table is a file or two, read by as many tasks
-SMALL_SPLIT_BYTES = 16 * 1024 * 1024
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; a small one is spread over the cores after the scan.
-
-    Tables that fill the cores with splits of their own are left as they are.
-    """
-    path = f"{sf_dir}/{name}.parquet"
-    rows = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if path_bytes(spark, path) < cores * SMALL_SPLIT_BYTES else rows
+    """A given table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _iso(ts: Column) -> Column:

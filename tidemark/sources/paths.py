@@ -68,13 +68,13 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def path_has_data(spark: SparkSession, path: str) -> bool:
-    """A finished write with at least one non-empty data file."""
+    """A finished write (it left its marker) with at least one non-empty data file."""
     fs, hadoop_path = _fs(spark, path)
     if not fs.exists(hadoop_path):
         return False
-    return any(
-        status.getLen() > 0 and not status.getPath().getName().startswith(("_", "."))
-        for status in fs.listStatus(hadoop_path)
+    files = {status.getPath().getName(): status.getLen() for status in fs.listStatus(hadoop_path)}
+    return "_SUCCESS" in files and any(
+        size > 0 and not name.startswith(("_", ".")) for name, size in files.items()
     )
 
 

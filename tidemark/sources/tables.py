@@ -51,7 +51,7 @@ def with_date_parts(mart: DataFrame, date_column: str = "event_date") -> DataFra
 def write_silver(
     events: DataFrame, root: str, mode: str = "overwrite", parts: list[str] = HOUR_PARTS
 ) -> None:
-    """All days of ``events`` at once (backfill); folders are rebalanced by size.
+    """The days of ``events`` at once (backfill), other days stay; folders are rebalanced by size.
 
     With day folders only (``parts``) the hour stays a column of the files,
     which readers do not notice; that suits feeds with tiny hours.
@@ -59,6 +59,7 @@ def write_silver(
     (
         events.hint("rebalance", *parts)
         .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts)
         .parquet(f"{root}/silver/events")
     )
@@ -67,12 +68,13 @@ def write_silver(
 def write_gold(
     mart: DataFrame, root: str, name: str, mode: str = "overwrite", parts: list[str] | None = None
 ) -> None:
-    """All days of a mart at once (backfill)."""
+    """The days of ``mart`` at once (backfill); other days stay."""
     parts = parts or GOLD_PARTS[name]
     ordered = mart.select(*GOLD[name].fieldNames(), *GOLD_PARTS[name])
     (
         ordered.hint("rebalance", *parts)
         .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts)
         .parquet(f"{root}/gold/{name}")
     )

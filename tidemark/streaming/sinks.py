@@ -6,12 +6,13 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidemark.operators.pulse import pulse_events, pulse_grain
 from tidemark.schemas import HOUR_PARTS, PULSE_GRAIN
 from tidemark.sources.bronze import partition_by_created_at
 from tidemark.sources.paths import path_exists
+from tidemark.streaming.source import readable, rejects
 
 EVERY_MINUTE = {"processingTime": "60 seconds"}
 
@@ -30,7 +31,7 @@ def bronze_sink(
     or two and is written where it was read; a replay of many hours should
     set ``files_per_hour``, which shuffles each hour into that many files.
     """
-    placed = partition_by_created_at(events)
+    placed = partition_by_created_at(readable(events))
     if files_per_hour is not None:
         placed = placed.repartition(*HOUR_PARTS, F.pmod(F.xxhash64("id"), F.lit(files_per_hour)))
     return (
@@ -44,28 +45,46 @@ def bronze_sink(
     )
 
 
+def reject_sink(
+    events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Keep the text of every record that could not be read."""
+    return (
+        rejects(events)
+        .writeStream.format("text")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or EVERY_MINUTE))
+        .start()
+    )
+
+
 # folder of the pulse table by how much one batch usually spans
 FOLDERS = {"hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd"}
 
 
-def write_grain_batch(events: DataFrame, batch_id: int, path: str, folder: str = "hour") -> None:
+def write_grain_batch(
+    events: DataFrame, batch_id: int, path: str, folder: str = "hour", run: str = "run"
+) -> None:
     """Store one batch's grain; writing the same batch again replaces it.
 
-    Folders are (period, batch): a reader of the last hour opens no others,
-    and a replayed batch overwrites exactly its own folders.
+    Folders are (period, run, batch): a reader of the last hour opens no
+    others, and a replayed batch overwrites exactly its own folders. ``run``
+    names the stream: batch numbers start again with a new checkpoint.
     """
-    grain = pulse_grain(pulse_events(events)).where(F.col("minute").isNotNull())
+    grain = pulse_grain(pulse_events(readable(events)))
     (
         grain.withColumns(
             {
                 "period": F.date_format("minute", FOLDERS[folder]),
+                "run": F.lit(run),
                 "batch_id": F.lit(batch_id).cast("bigint"),
             }
         )
         .hint("rebalance", "period")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("period", "batch_id")
+        .partitionBy("period", "run", "batch_id")
         .parquet(path)
     )
 
@@ -83,10 +102,14 @@ def pulse_sink(
     no state to lose, late events still count and restarts add nothing twice.
     Long replays may use day folders.
     """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        # the query's id is kept in its checkpoint: the same after a restart, new with a new one
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        write_grain_batch(batch, batch_id, path, folder, run)
+
     return (
-        events.writeStream.foreachBatch(
-            lambda batch, batch_id: write_grain_batch(batch, batch_id, path, folder)
-        )
+        events.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or EVERY_MINUTE))
         .start()
@@ -110,49 +133,41 @@ def read_grain(spark: SparkSession, path: str, periods: list[str] | None = None)
         if not folders:
             return spark.createDataFrame([], PULSE_GRAIN)
         rows = spark.read.option("basePath", path).parquet(*folders)
-    return rows.drop("period", "batch_id")
+    return rows.drop("period", "run", "batch_id")
 
 
-def windowed_pulse(events: DataFrame, lateness: str = "2 minutes") -> DataFrame:
-    """Per-minute counts kept in stream state, closed by the watermark.
+class Intake(StreamingQueryListener):
+    """Counts what every query has taken in since the listener was added.
 
-    Distincts are sketched, which keeps the state of a minute at a fixed
-    size; exact ones come from the pulse grain.
+    ``recentProgress`` forgets after a hundred batches; this does not.
     """
-    arrived = F.col("_ingested_at").try_cast("timestamp")
-    prepared = events.select(
-        arrived.alias("arrived"),
-        F.coalesce(F.nullif("type", F.lit("")), F.lit("Unknown")).alias("type"),
-        F.nullif(F.col("repo.name"), F.lit("")).alias("repo_name"),
-        F.col("actor.id").alias("actor_id"),
-    ).where(F.col("arrived").isNotNull())
-    return (
-        prepared.withWatermark("arrived", lateness)
-        .groupBy(F.window("arrived", "1 minute"))
-        .agg(
-            F.count(F.lit(1)).alias("events"),
-            F.approx_count_distinct("repo_name").alias("unique_repos"),
-            F.approx_count_distinct("actor_id").alias("unique_actors"),
-            F.count_if(F.col("type") == "PushEvent").alias("push_count"),
-            F.count_if(F.col("type") == "WatchEvent").alias("watch_count"),
-        )
-        .select(
-            F.col("window.start").cast("timestamp_ntz").alias("minute"),
-            "events",
-            "unique_repos",
-            "unique_actors",
-            "push_count",
-            "watch_count",
-        )
-    )
+
+    def __init__(self) -> None:
+        self.messages: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.messages.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        key = str(progress.id)
+        self.messages[key] = self.messages.get(key, 0) + int(progress.numInputRows)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
 
 
-def stream_health(query: StreamingQuery) -> dict:
-    """Whether a query runs, and what its recent batches took in."""
-    batches = query.recentProgress
+def stream_health(query: StreamingQuery, intake: Intake, now: dt.datetime | None = None) -> dict:
+    """Whether a query runs, what it has taken in, and the age of its last batch in seconds."""
+    last = query.lastProgress
+    at = None if last is None else dt.datetime.fromisoformat(last["timestamp"].replace("Z", "+00:00"))
+    now = now or dt.datetime.now(dt.timezone.utc)
     return {
         "active": query.isActive,
-        "batches": len(batches),
-        "messages": sum(int(b["numInputRows"]) for b in batches),
-        "last_batch_at": batches[-1]["timestamp"] if batches else None,
+        "messages": intake.messages.get(str(query.id), 0),
+        "last_batch_at": None if at is None else at.isoformat(),
+        "lag_seconds": None if at is None else max(0.0, (now - at).total_seconds()),
     }

@@ -8,23 +8,39 @@ from pyspark.sql import types as T
 
 from tidemark.schemas import CORRUPT, LIVE_EVENT
 
-TOPIC = "gh.events.live"
-
 
 def decode(records: DataFrame) -> DataFrame:
-    """Kafka records to live events; values that are no objects are dropped."""
+    """Records with a ``value`` to live events; the text of an unreadable one is in CORRUPT."""
     schema = T.StructType([*LIVE_EVENT.fields, T.StructField(CORRUPT, T.StringType())])
-    event = F.from_json(
-        F.col("value").cast("string"), schema, {"columnNameOfCorruptRecord": CORRUPT}
+    text = F.col("value").cast("string")
+    event = F.from_json(text, schema, {"columnNameOfCorruptRecord": CORRUPT})
+    bad = F.col("event").isNull() | F.col(f"event.{CORRUPT}").isNotNull()
+    return (
+        records.select(text.alias("text"), event.alias("event"))
+        .where(F.col("text").isNotNull())
+        .select(
+            *[F.when(~bad, F.col(f"event.{f.name}")).alias(f.name) for f in LIVE_EVENT.fields],
+            F.when(bad, F.col("text")).alias(CORRUPT),
+        )
     )
-    readable = F.col("event").isNotNull() & F.col(f"event.{CORRUPT}").isNull()
-    return records.select(event.alias("event")).where(readable).select("event.*").drop(CORRUPT)
+
+
+def readable(events: DataFrame) -> DataFrame:
+    """Events without those that could not be read."""
+    if CORRUPT not in events.columns:
+        return events
+    return events.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def rejects(events: DataFrame) -> DataFrame:
+    """The texts that could not be read."""
+    return events.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"))
 
 
 def topic_source(
     spark: SparkSession,
     servers: str,
-    topic: str = TOPIC,
+    topic: str,
     starting: str = "earliest",
     batch_records: int = 500,
     batch_seconds: int = 60,
@@ -47,10 +63,10 @@ def topic_source(
 
 def file_source(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """Events of JSON-lines files dropped into a folder."""
-    reader = spark.readStream.schema(LIVE_EVENT)
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(path)
+    return decode(reader.text(path))
 
 
 def stamp_and_key(events: DataFrame) -> DataFrame:
@@ -66,7 +82,7 @@ def stamp_and_key(events: DataFrame) -> DataFrame:
     )
 
 
-def topic_sink(records: DataFrame, servers: str, checkpoint: str, topic: str = TOPIC):
+def topic_sink(records: DataFrame, servers: str, checkpoint: str, topic: str):
     """Publish keyed records (needs the Kafka connector)."""
     return (
         records.writeStream.format("kafka")
