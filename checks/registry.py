@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks import feed, staged
 from tidemark.functions import prompts, responses, scalars
 from tidemark.operators import (
     classify,
@@ -24,10 +25,10 @@ from tidemark.operators import (
     serving,
     velocity,
 )
-from tidemark.plans import daily, insights, staged
+from tidemark.plans import daily, insights
 from tidemark.schemas import DAY_PARTS, HOUR_PARTS, PULSE_GRAIN
-from tidemark.session import configure, new_stage_path, path_bytes, size_shuffles
-from tidemark.sources import bronze, feed, paths, tables
+from tidemark.session import configure, new_stage_path
+from tidemark.sources import bronze, paths, tables
 from tidemark.streaming import sinks, source
 
 QUERIES = {}
@@ -51,7 +52,6 @@ def query(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
         staging(spark)
-        size_shuffles(spark, staged.FEED_GROWTH * path_bytes(spark, sf_dir))
         return rounded(fn(spark, sf_dir))
 
     QUERIES[fn.__name__] = run

@@ -12,16 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks import feed
 from tidemark.operators import marts
 from tidemark.operators.events import silver_events
 from tidemark.schemas import DAY_PARTS
 from tidemark.session import configure, new_stage_path
-from tidemark.sources import feed
 from tidemark.sources.tables import read_gold, read_silver, with_date_parts, write_gold, write_silver
 
-# the feed's Parquet, once exploded into JSON-bearing deliveries
-FEED_GROWTH = 8
-
 _roots: dict[tuple[str, str], str] = {}
 _built: set[tuple[str, str]] = set()
 
