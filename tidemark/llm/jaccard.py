@@ -8,7 +8,9 @@ when no t missing shingles can spoil it: rare shingles are a class that is
 indexed one by one; frequent ones fall into small classes that are indexed by
 pairs, where c shingles survive c - 1 losses, so the prefix is extended until
 the classes together survive t losses. Any two linked texts then share a rare
-shingle or a pair of one frequent class in their prefixes.
+shingle or a pair of one frequent class in their prefixes. Where there are
+rare shingles enough, the prefix is extended by some more, and linked texts
+share as many as it has beyond t: a pair that shares fewer is not verified.
 
 Which shingles are frequent is read from a table of counts over all texts,
 hashed to ``width`` counters; a collision can only move a shingle to the
@@ -35,7 +37,7 @@ import dataclasses
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.base import (
@@ -55,17 +57,21 @@ from tidemark.llm.base import (
 from tidemark.llm.components import components
 
 SHINGLE = 5
+# for texts whose prefix reaches into the frequent classes
+ANY = 2**31 - 1
 LANES = 4  # of 64 parity bits
 
 
 @dataclasses.dataclass(frozen=True)
 class Join:
     """percent: least similarity; width: counters of the frequency table (4 bytes each);
-    class_size: shingles of a text in one frequent class, about."""
+    class_size: shingles of a text in one frequent class, about; extend: a prefix has up to
+    1 / extend of a text's shingles more than it needs."""
 
     percent: int = 75
     width: int = 1 << 18
     class_size: int = 8
+    extend: int = 8
 
 
 class Sets:
@@ -201,14 +207,17 @@ def pair_keys(often: np.ndarray, need: int, classes: int, level: int) -> np.ndar
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def prefix_keys(sets: Sets, join: Join) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, row, whether it is a pair of frequent shingles) of the prefixes of a block."""
+def prefix_keys(sets: Sets, join: Join) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, row, whether it is a pair of frequent shingles) of the prefixes of a block,
+    and by row how many keys a linked text shares at least (ANY: one, of either kind)."""
     sizes = sets.sizes()
     need = sizes - -(-sizes * join.percent // 100) + 1  # losses to survive, and one
+    rare = np.bincount(sets.rows, ~sets.often, len(sizes)).astype(np.int64)
+    upto = np.minimum(need + sizes // join.extend, rare)
+    least = np.where(rare >= need, upto - need + 1, ANY)
     rank = np.arange(len(sets.rows)) - sets.first[sets.rows]
-    single = ~sets.often & (rank < need[sets.rows]) & (sizes[sets.rows] > 1)
+    single = ~sets.often & (rank < upto[sets.rows]) & (sizes[sets.rows] > 1)
     keys, rows, paired = [sets.hash[single]], [sets.rows[single]], [np.zeros(single.sum(), bool)]
-    rare = np.bincount(sets.rows, ~sets.often, len(sizes)).astype(np.int64)
     for row in np.flatnonzero((rare < need) & (sizes > 1)):
         n = int(sizes[row])
         often = sets.hash[sets.first[row] + rare[row] : sets.first[row + 1]]
@@ -220,71 +229,81 @@ def prefix_keys(sets: Sets, join: Join) -> tuple[np.ndarray, np.ndarray, np.ndar
             keys.append(found)
             rows.append(np.full(len(found), row))
             paired.append(np.ones(len(found), bool))
-    return np.concatenate(keys), np.concatenate(rows), np.concatenate(paired)
+    return np.concatenate(keys), np.concatenate(rows), np.concatenate(paired), least
+
+
+KEYS = "key bigint, node bigint, paired boolean, least int"
 
 
 def indexed(rows: DataFrame, table, join: Join) -> DataFrame:
-    """(key, node, paired) of every text's prefix, once per task and node."""
+    """(key, node, paired, least) of every text's prefix, copies in a block once."""
 
     def run(batches):
         often = table.value
         for batch in batches:
             for _, texts in blocks(batch.column("text")):
                 sets = Sets(texts, often)
-                keys, row, paired = prefix_keys(sets, join)
+                keys, row, paired, least = prefix_keys(sets, join)
                 nodes = sets.nodes()
-                first = np.unique(nodes, return_index=True)[1]  # copies inside a block
+                first = np.unique(nodes, return_index=True)[1]
                 once = np.isin(row, first)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(keys[once].view(np.int64), pa.int64()),
                         pa.array(nodes[row[once]].view(np.int64), pa.int64()),
                         pa.array(paired[once], pa.bool_()),
+                        pa.array(least[row[once]], pa.int32()),
                     ],
-                    ["key", "node", "paired"],
+                    ["key", "node", "paired", "least"],
                 )
 
-    return rows.mapInArrow(run, "key bigint, node bigint, paired boolean")
+    return rows.mapInArrow(run, KEYS)
 
 
 def shared_keys(keys: DataFrame) -> DataFrame:
-    """(key, node, leader) of the keys that two nodes or more share; leader is the smallest."""
+    """(key, node, least, leader) of the keys that two nodes or more share; leader is the smallest."""
     # few texts share a rare shingle: one shuffle and a window
     of = Window.partitionBy("key")
     rare = (
         keys.where("not paired")
-        .select("key", "node", F.min("node").over(of).alias("leader"), F.max("node").over(of).alias("last"))
+        .select(
+            "key", "node", "least", F.min("node").over(of).alias("leader"), F.max("node").over(of).alias("last")
+        )
         .where("leader != last")
-        .select("key", "node", "leader")
+        .select("key", "node", "least", "leader")
+        .distinct()
     )
     # any number may share a frequent pair: grouped before the shuffle, joined where skew is split
-    often = keys.where("paired").select("key", "node")
+    often = keys.where("paired").select("key", "node", "least")
     leaders = often.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
-    often = often.join(leaders.where("leader != last").select("key", "leader"), "key")
+    often = often.distinct().join(leaders.where("leader != last").select("key", "leader"), "key")
     return rare.unionByName(often)
 
 
-def plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose sizes and parity bits allow a link."""
-    sides = []
-    for side in ("a", "b"):
-        sides.append(
-            classes.select(
-                F.col("node").alias(side),
-                F.col("n").alias(f"{side}_n"),
-                *[F.col(f"b{i}").alias(f"{side}_{i}") for i in range(LANES)],
-            )
-        )
-    differ = sum(
-        (F.bit_count(F.col(f"a_{i}").bitwiseXOR(F.col(f"b_{i}"))) for i in range(1, LANES)),
-        F.bit_count(F.col("a_0").bitwiseXOR(F.col("b_0"))),
-    )
+BITS = [f"b{i}" for i in range(LANES)]
+
+
+def side(classes: DataFrame, name: str) -> DataFrame:
+    """The nodes as ``name`` with their size and parity bits."""
+    return classes.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("n", *BITS)])
+
+
+def allowed(percent: int) -> Column:
+    """Whether sizes and parity bits of a and b allow a link."""
+    differ = F.lit(0)
+    for bits in BITS:
+        differ = differ + F.bit_count(F.col(f"a_{bits}").bitwiseXOR(F.col(f"b_{bits}")))
     both = F.col("a_n") + F.col("b_n")
     # |difference| = both - 2 |intersection|, and |intersection| >= percent / (100 + percent) * both
-    allowed = (differ * (100 + percent) <= both * (100 - percent)) & (
+    return (differ * (100 + percent) <= both * (100 - percent)) & (
         F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
     )
-    return pairs.join(sides[0], "a").join(sides[1], "b").where(allowed).select("a", "b")
+
+
+def plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose sizes and parity bits allow a link."""
+    both = pairs.join(side(classes, "a"), "a").join(side(classes, "b"), "b")
+    return both.where(allowed(percent)).select("a", "b")
 
 
 def sets_of(rows: DataFrame, table) -> DataFrame:
@@ -313,11 +332,11 @@ def sets_of(rows: DataFrame, table) -> DataFrame:
 
 
 def verified(rows: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, by their whole sets."""
+    """The pairs (a, b) that link, by their whole sets, as a stage."""
     spark = rows.sparkSession
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     table = spark.sparkContext.broadcast(bit_table(wanted, "node"))
-    sets, _ = stage(sets_of(rows, table), "sets")
+    sets, at = stage(sets_of(rows, table), "sets")
 
     def run(batches):
         for batch in batches:
@@ -331,7 +350,22 @@ def verified(rows: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     one = sets.select(F.col("node").alias("a"), F.col("set").alias("a_set"))
     other = sets.select(F.col("node").alias("b"), F.col("set").alias("b_set"))
     joined = pairs.join(one, "a").join(other, "b").select("a", "b", "a_set", "b_set")
-    return joined.mapInArrow(run, "a bigint, b bigint")
+    links, _ = stage(joined.mapInArrow(run, "a bigint, b bigint"), "links")
+    drop(spark, at)
+    return links
+
+
+def led(shared: DataFrame) -> DataFrame:
+    """(key, node, least, leader): each key is led by its node that meets most others.
+
+    In a group of near copies that is the text they derive from: the copies are
+    alike through it, and hardly ever through an arbitrary member.
+    """
+    sizes = shared.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    weights = shared.select("key", "node").join(sizes, "key").groupBy("node").agg(F.sum("size").alias("weight"))
+    weighed = shared.join(weights, "node")
+    leaders = weighed.groupBy("key").agg(F.max(F.struct("weight", "node")).getField("node").alias("leader"))
+    return shared.select("key", "node", "least").join(leaders, "key")
 
 
 def connected(rows: DataFrame, classes: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
@@ -339,13 +373,16 @@ def connected(rows: DataFrame, classes: DataFrame, shared: DataFrame, percent: i
 
     ``rows`` holds the texts, ``classes`` each node's size and parity bits.
     """
-    # first the leaders of the keys, then whatever is still apart
-    near = shared.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    # first the leaders of keys, where they share many; whatever is still apart comes next
+    near = led(shared).where("node != leader").groupBy(F.col("leader").alias("a"), F.col("node").alias("b"))
+    near = near.agg(F.count(F.lit(1)).alias("keys"), F.min("least").alias("least"))
+    near = near.where((F.col("least") == ANY) | (F.col("keys") * 2 >= F.col("least"))).select("a", "b")
     near, _ = stage(plausible(near, classes, percent), "pairs")
-    edges, _ = stage(verified(rows, near, percent), "links")
+    edges = verified(rows, near, percent)
     grouped, _ = stage(components(edges), "components")
-    known = shared.select("key", "node").join(grouped, "node", "left")
-    known = known.select("key", "node", F.coalesce("component", "node").alias("component"))
+    known = shared.select("key", "node", "least").join(grouped, "node", "left")
+    known = known.select("key", "node", "least", F.coalesce("component", "node").alias("component"))
+    known = known.join(classes.select("node", "n", *BITS), "node")
     apart = (
         known.groupBy("key")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -353,17 +390,29 @@ def connected(rows: DataFrame, classes: DataFrame, shared: DataFrame, percent: i
         .select("key")
     )
     known, known_at = stage(known.join(apart, "key", "left_semi"), "apart")
-    left = known.select("key", F.col("node").alias("a"), F.col("component").alias("a_in"))
-    right = known.select("key", F.col("node").alias("b"), F.col("component").alias("b_in"))
-    rest = left.join(right, "key").where("a < b and a_in != b_in").select("a", "b").distinct()
-    rest = plausible(rest, classes, percent).join(
+    left, right = (
+        known.select(
+            "key",
+            F.col("node").alias(name),
+            *[F.col(c).alias(f"{name}_{c}") for c in ("component", "least", "n", *BITS)],
+        )
+        for name in ("a", "b")
+    )
+    # a condition of the join: nothing else is made into a row
+    met = left.join(right, "key").where(F.expr("a < b and a_component != b_component") & allowed(percent))
+    # every key that two nodes of different components share is still here, so all are counted
+    rest = met.groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("keys"), F.min(F.least("a_least", "b_least")).alias("least")
+    )
+    rest = rest.where((F.col("least") == ANY) | (F.col("keys") >= F.col("least"))).select("a", "b")
+    rest = rest.join(
         near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"
     )
     rest, _ = stage(rest, "pairs")
     drop(rows.sparkSession, known_at)
     if rest.isEmpty():
         return grouped
-    more, _ = stage(verified(rows, rest, percent), "links")
+    more = verified(rows, rest, percent)
     if more.isEmpty():
         return grouped
     return stage(components(edges.unionByName(more)), "components")[0]

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.base import blocks, drop, mixed, stage
-from tidemark.llm.jaccard import LANES, Sets, connected, shared_keys
+from tidemark.llm.jaccard import KEYS, LANES, Sets, connected, shared_keys
 
 
 @dataclasses.dataclass(frozen=True)
@@ -109,7 +109,7 @@ def minima(sets: Sets, rows: np.ndarray, banding: Banding) -> np.ndarray:
 
 
 def band_keys(texts: DataFrame, banding: Banding) -> DataFrame:
-    """(key, node, paired) of every long paragraph's bands, once per task and node."""
+    """(key, node, paired, least) of every long paragraph's bands, once per task and node."""
     bands, per = banding.shape()
 
     def run(batches):
@@ -138,11 +138,12 @@ def band_keys(texts: DataFrame, banding: Banding) -> DataFrame:
                         pa.array(np.concatenate(keys).view(np.int64), pa.int64()),
                         pa.array(np.tile(nodes[rows], bands), pa.int64()),
                         pa.array(np.ones(len(rows) * bands, bool), pa.bool_()),
+                        pa.array(np.ones(len(rows) * bands, np.int32), pa.int32()),
                     ],
-                    ["key", "node", "paired"],
+                    ["key", "node", "paired", "least"],
                 )
 
-    return texts.select("text").mapInArrow(run, "key bigint, node bigint, paired boolean")
+    return texts.select("text").mapInArrow(run, KEYS)
 
 
 def clustered(docs: DataFrame, banding: Banding = Banding()):
