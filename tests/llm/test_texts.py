@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import random
 import re
 import struct
 from collections import Counter, defaultdict
@@ -220,6 +221,50 @@ def test_personal_data(spark, corpus):
     assert pii.personal_data(docs.limit(0)).collect() == []
 
 
+def test_registered_rounds_find_a_kind_without_seeds_and_no_stop_words(spark):
+    rng = random.Random(8)
+    common = ["the", "of", "and", "one", "is", "to"]
+    prose = lambda n: " ".join(rng.choice(common) for _ in range(n))
+    hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    secrets = {i: hexes(40) for i in range(40)} | {i: f"k{i}9xyz" for i in range(40, 44)}
+    rows = [(i, f'{prose(60)} token = "{s}" {prose(60)}') for i, s in secrets.items()]
+    # stop words stand beside seeds and beside numbers that are none
+    rows += [(100 + i, f"{prose(60)} the 10.0.{i}.7 and {prose(60)}") for i in range(60)]
+    numbers = [(200 + i, f"{prose(60)} the {50000000 + i} and {prose(60)}") for i in range(20)]
+    found = {r.doc_id: r for r in pii.personal_data(frame(spark, rows + numbers)).collect()}
+    texts = dict(rows + numbers)
+    for i, secret in secrets.items():
+        start = texts[i].index(secret)
+        assert found[i].spans == f"identifier:{start}:{start + len(secret)}"
+    assert all(found[100 + i].n_ip == 1 and found[200 + i % 20].n_identifier == 0 for i in range(60))
+
+
+def test_rounds_go_on_until_nothing_new_is_accepted(spark):
+    # each link of the chain is known by strings that the link before made known
+    rows = [f"label0 10.1.1.{k}" for k in range(6)]
+    for link in range(7):
+        rows += [f"label{link} {link}chain{k}" for k in range(6)] + [f"label{link + 1} {link}chain{k}" for k in range(6)]
+    rest = "some other words follow here " * 9
+    docs = frame(spark, [(n, f"before{n} {t} after{n} {rest}") for n, t in enumerate(rows)])
+    found = {r.doc_id: r.n_identifier for r in pii.personal_data(docs).collect()}
+    assert found == {n: int("chain" in t) for n, t in enumerate(rows)}
+    some = pii.personal_data(docs, pii.Rounds(rounds=3)).agg(F.sum("n_identifier")).first()[0]
+    assert 0 < some < sum(found.values())
+
+
+def test_background_counts_the_contexts_of_mentions():
+    rng = random.Random(2)
+    for _ in range(200):
+        pieces = ['key="a1b2c3d4"', "x=", "=", "the", "(edge)", "Word,", "a1b2c3d4", "z==12345678", "...", "+1"]
+        text = " ".join(rng.choice(pieces) for _ in range(rng.randint(0, 9)))
+        met = pii.Contexts()
+        met.add(text)
+        assert sum(met.one.values()) == sum(met.two.values()) == sum(met.after.values()) == met.tokens
+        own = [m[4:] for m in pii.mentions(text, [], 6)]
+        assert not Counter(m[0] for m in own) - met.one and not Counter(m[2] for m in own) - met.after
+        assert not Counter(m[1] for m in own) - Counter({" ".join(k): n for k, n in met.two.items()})
+
+
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
