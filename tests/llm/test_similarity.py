@@ -123,6 +123,41 @@ def test_paragraphs_equal_all_pairs(spark, corpus):
     assert got == expected  # which of the equal rows 101 goes first is not said
 
 
+def test_short_lines_and_wrapped_passages_equal_all_pairs(spark):
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    some = lambda n: [word() for _ in range(n)]
+    wrap = lambda w, n: "\n".join(" ".join(w[k : k + n]) for k in range(0, len(w), n))
+    nine, passage, own = " ".join(some(9)), some(60), some(26)
+    rows = [(i, f"{' '.join(some(30))}\n{nine}\n{' '.join(some(30))}") for i in range(5)]
+    rows += [(10 + i, f"{' '.join(some(40))}\n\n{wrap(passage, 7 + 4 * i)}\n\n{' '.join(some(3))}") for i in range(3)]
+    rows += [(20, " ".join(passage)), (21, f"{' '.join(own[:24])}\n{' '.join(own[24:])}"), (22, "one two\none two")]
+    # every line, and every run of short ones, with all others
+    units = []
+    for i, t in rows:
+        lines = t.split("\n")
+        units += [(i, k, 1, line) for k, line in enumerate(lines) if len(spaced(line)) >= 5]
+        short = [0 < len(spaced(line)) < 25 for line in lines] + [False]
+        for k in range(len(lines)):
+            if short[k] and not (k and short[k - 1]):
+                upto = short.index(False, k)
+                joined_up = " ".join(lines[k:upto])
+                if upto - k > 1 and len(spaced(joined_up)) >= 25:
+                    units.append((i, k, upto - k, joined_up))
+    root = roots([shingles(u[3]) for u in units])
+    want = {i: set() for i, _ in rows}
+    for r in set(root):
+        i, k, n = min(u[:3] for u, q in zip(units, root) if q == r)
+        for u, q in zip(units, root):
+            if q == r and (u[0] != i or u[1] >= k + n):
+                want[u[0]] |= set(range(u[1], u[1] + u[2]))
+    found = {r.doc_id: r for r in paragraphs.deduplicated(frame(spark, rows)).collect()}
+    assert {i: set(r.removed) for i, r in found.items()} == want
+    assert [found[i].removed for i in range(5)] == [[]] + [[1]] * 4
+    assert len(want[11]) == 6 and want[20] == {0} and not want[10] and not want[21]
+    assert all(found[i].n_removed == len(found[i].removed) for i in want)
+
+
 def test_bands_reach_the_recall():
     for percent in (75, 80, 90):
         bands, rows = paragraphs.Banding(percent=percent).shape()

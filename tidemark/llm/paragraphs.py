@@ -1,13 +1,17 @@
 """Paragraph dedup by MinHash banding, verified and clustered.
 
-A paragraph is a line of a text; those of ``least_words`` words or more are
+A paragraph is a line of a text, or a run of lines: consecutive lines that
+have words, fewer than ``wrapped_words`` each, joined to one paragraph if they
+have as many together, so a passage is met in whatever way it is wrapped.
+Lines of ``least_words`` words or more (a whole shingle) and all runs are
 compared as sets of 5-word shingles. Each set gets ``bands * rows`` minima of
 random linear hashes; sets that agree in a whole band collide. Rows and bands
 are chosen from the least similarity so that a pair just at it collides with
 probability ``recall``; more similar pairs collide more often. Colliding
 paragraphs are joined and verified by exact Jaccard similarity, links are
 closed to clusters by connected components, and of each cluster all but the
-first paragraph (smallest doc_id, then position) are removed.
+first paragraph (smallest doc_id, then position) are removed, a run with all
+its lines. A paragraph is never a copy of one that it overlaps.
 
 Equal sets are one node and a key's members are verified against its smallest
 first, so a passage that a third of all documents share is not paired out.
@@ -36,7 +40,8 @@ class Banding:
     percent: int = 75
     recall: float = 0.9995
     most_hashes: int = 64
-    least_words: int = 25
+    least_words: int = 5
+    wrapped_words: int = 25
     seed: int = 11
 
     def shape(self) -> tuple[int, int]:
@@ -52,40 +57,61 @@ class Banding:
         return best
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """(doc_id, part, text) of every line of every document."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("part", "text"))
+def cut(text: str | None, banding: Banding) -> tuple[int, list[tuple[int, int, str]]]:
+    """The number of lines, and (first line, lines, text) of the paragraphs to compare."""
+    if not text:
+        return 0, []
+    lines = text.split("\n")
+    words = [len(line.encode().split()) for line in lines]  # bytes split at ASCII white space only
+    out = [(i, 1, line) for i, line in enumerate(lines) if words[i] >= banding.least_words]
+    first = 0
+    for i in range(len(lines) + 1):
+        if i < len(lines) and 0 < words[i] < banding.wrapped_words:
+            continue
+        if i - first > 1 and sum(words[first:i]) >= banding.wrapped_words:
+            out.append((first, i - first, " ".join(lines[first:i])))
+        first = i + 1
+    return len(lines), out
+
+
+def paragraphs(docs: DataFrame, banding: Banding) -> DataFrame:
+    """(text) of every paragraph of every document that is compared."""
+
+    def run(batches):
+        for batch in batches:
+            for value in batch.column("text"):
+                texts = [t for _, _, t in cut(value.as_py(), banding)[1]]
+                if texts:
+                    yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "text string")
 
 
 PARAGRAPH = pa.struct(
-    [("part", pa.int32()), ("n", pa.int64()), ("node", pa.int64())] + [(f"b{i}", pa.int64()) for i in range(LANES)]
+    [("part", pa.int32()), ("lines", pa.int32()), ("n", pa.int64()), ("node", pa.int64())] + [(f"b{i}", pa.int64()) for i in range(LANES)]
 )
-MEASURED = "doc_id bigint, n_paragraphs bigint, long array<struct<part:int,n:bigint,node:bigint," + (
+MEASURED = "doc_id bigint, n_paragraphs bigint, long array<struct<part:int,lines:int,n:bigint,node:bigint," + (
     ",".join(f"b{i}:bigint" for i in range(LANES)) + ">>"
 )
 
 
 def measured(docs: DataFrame, banding: Banding) -> DataFrame:
-    """Of each document its number of lines, and size, node and parity bits of the long ones."""
+    """Of each document its number of lines, and size, node and parity bits of its paragraphs."""
 
     def run(batches):
         for batch in batches:
-            counts, lines = [], []
-            for value in batch.column("text"):
-                text = value.as_py()
-                own = text.split("\n") if text else []
-                counts.append(len(own))
-                lines += own
-            first = np.cumsum(counts) - counts
-            found = [[] for _ in counts]
-            for base, texts in blocks(pa.array(lines, pa.string())):
+            counts, found, units = [], [], []
+            for doc, value in enumerate(batch.column("text")):
+                n, own = cut(value.as_py(), banding)
+                counts.append(n)
+                found.append([])
+                units += [(doc, *unit) for unit in own]
+            for base, texts in blocks(pa.array([u[3] for u in units], pa.string())):
                 sets = Sets(texts)
                 sizes, nodes, lanes = sets.sizes(), sets.nodes().view(np.int64), sets.parities()
-                long = np.flatnonzero(sets.words >= banding.least_words)
-                docs_of = np.searchsorted(first, long + base, "right") - 1
-                for i, doc in zip(long.tolist(), docs_of.tolist()):
-                    row = {"part": base + i - int(first[doc]), "n": int(sizes[i]), "node": int(nodes[i])}
+                for i in range(len(texts)):
+                    doc, part, lines, _ = units[base + i]
+                    row = {"part": part, "lines": lines, "n": int(sizes[i]), "node": int(nodes[i])}
                     found[doc].append(row | {f"b{k}": int(lane[i]) for k, lane in enumerate(lanes)})
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(found, pa.list_(PARAGRAPH))],
@@ -109,7 +135,7 @@ def minima(sets: Sets, rows: np.ndarray, banding: Banding) -> np.ndarray:
 
 
 def band_keys(texts: DataFrame, banding: Banding) -> DataFrame:
-    """(key, node, paired, least) of every long paragraph's bands, once per task and node."""
+    """(key, node, paired, least) of every paragraph's bands, once per task and node."""
     bands, per = banding.shape()
 
     def run(batches):
@@ -147,7 +173,7 @@ def band_keys(texts: DataFrame, banding: Banding) -> DataFrame:
 
 
 def clustered(docs: DataFrame, banding: Banding = Banding()):
-    """((row, doc_id, n_paragraphs, long), (row, part, keeper, kept_by) of clustered paragraphs)."""
+    """((row, doc_id, n_paragraphs, long), (row, part, lines, gone, kept_by) of clustered paragraphs)."""
     spark = docs.sparkSession
     rows, _ = stage(
         measured(docs, banding).withColumn("row", F.monotonically_increasing_id()), "paragraphs"
@@ -157,20 +183,25 @@ def clustered(docs: DataFrame, banding: Banding = Banding()):
         F.first("n").alias("n"), *[F.first(f"b{i}").alias(f"b{i}") for i in range(LANES)]
     )
     classes, _ = stage(classes, "classes")
-    lines = paragraphs(docs.where("doc_id is not null"))
+    lines = paragraphs(docs.where("doc_id is not null"), banding)
     shared, at = stage(shared_keys(band_keys(lines, banding)), "shared")
     grouped = connected(lines, classes, shared, banding.percent)
     drop(spark, at)
-    placed = long.select("row", "doc_id", "part", "node").join(grouped, "node", "left")
-    placed = placed.select("row", "doc_id", "part", F.coalesce("component", "node").alias("component"))
+    placed = long.select("row", "doc_id", "part", "lines", "node").join(grouped, "node", "left")
+    placed = placed.select("row", "doc_id", "part", "lines", F.coalesce("component", "node").alias("component"))
     heads = placed.groupBy("component").agg(
-        F.min(F.struct("doc_id", "row", "part")).alias("head"), F.count(F.lit(1)).alias("members")
+        F.min(F.struct("doc_id", "row", "part", "lines")).alias("head"),
+        F.max(F.struct("doc_id", "row", "part", "lines")).alias("last"),
     )
-    heads = heads.where("members > 1").select("component", "head")
+    # paragraphs are sorted by their first line: if the last one overlaps the head, all do
+    heads = heads.where(
+        (F.col("last.row") != F.col("head.row")) | (F.col("last.part") >= F.col("head.part") + F.col("head.lines"))
+    ).select("component", "head")
     met = placed.join(heads, "component").select(
         "row",
         "part",
-        ((F.col("row") == F.col("head.row")) & (F.col("part") == F.col("head.part"))).alias("keeper"),
+        "lines",
+        ((F.col("row") != F.col("head.row")) | (F.col("part") >= F.col("head.part") + F.col("head.lines"))).alias("gone"),
         F.col("head.doc_id").alias("kept_by"),
     )
     return rows, met
@@ -179,23 +210,26 @@ def clustered(docs: DataFrame, banding: Banding = Banding()):
 def deduplicated(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
     """doc_id, n_paragraphs, n_long, n_repeated, n_removed, kept_by of each document.
 
-    ``n_repeated`` counts paragraphs in clusters, ``n_removed`` those of them
-    that go; ``kept_by`` lists the documents that keep their clusters' first
+    ``n_repeated`` counts lines in clusters, by themselves or in a run, ``n_removed``
+    those of them that go; ``n_long`` counts lines that are compared by themselves; ``kept_by`` lists the documents that keep their clusters' first
     paragraph, the document itself included where it does; ``removed`` lists
     the positions of the lines that go.
     """
     rows, met = clustered(docs, banding)
-    found = met.groupBy("row").agg(
+    line = F.explode(F.sequence("part", F.expr("part + lines - 1"))).alias("part")
+    lines = met.select("row", line, "gone").groupBy("row", "part").agg(F.max("gone").alias("gone"))
+    found = lines.groupBy("row").agg(
         F.count(F.lit(1)).alias("n_repeated"),
-        F.count_if(~F.col("keeper")).alias("n_removed"),
-        F.sort_array(F.collect_set("kept_by")).alias("kept_by"),
-        F.sort_array(F.collect_list(F.when(~F.col("keeper"), F.col("part")))).alias("removed"),
+        F.count_if("gone").alias("n_removed"),
+        F.sort_array(F.collect_list(F.when(F.col("gone"), F.col("part")))).alias("removed"),
     )
+    keepers = met.groupBy("row").agg(F.sort_array(F.collect_set("kept_by")).alias("kept_by"))
+    found = found.join(keepers, "row")
     zero = F.lit(0).cast("long")
     return rows.join(found, "row", "left").select(
         "doc_id",
         "n_paragraphs",
-        F.size("long").cast("long").alias("n_long"),
+        F.size(F.filter("long", lambda p: p["lines"] == 1)).cast("long").alias("n_long"),
         F.coalesce("n_repeated", zero).alias("n_repeated"),
         F.coalesce("n_removed", zero).alias("n_removed"),
         F.coalesce("kept_by", F.array().cast("array<bigint>")).alias("kept_by"),
