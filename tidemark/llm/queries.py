@@ -8,8 +8,8 @@ import corpus_pipeline
 from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, jaccard, paragraphs, pii, quality, substrings
-from tidemark.llm import tokens, toxicity, warc
+from tidemark.llm import bpe, decontaminate, jaccard, paragraphs, periodic, permutations, pii
+from tidemark.llm import quality, substrings, tokens, toxicity, warc
 from tidemark.llm.base import table
 from tidemark.llm.oracles import ORACLES  # noqa: F401
 
@@ -82,6 +82,16 @@ def op5_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraphs.deduplicated(table(spark, sf_dir, "documents")).drop("removed")
 
 
+@query
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutations.search(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.periodic_runs(table(spark, sf_dir, "documents"), planted=True))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
