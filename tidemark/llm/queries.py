@@ -8,8 +8,8 @@ import corpus_pipeline
 from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, jaccard, paragraphs, periodic, permutations, pii
-from tidemark.llm import quality, substrings, tokens, toxicity, warc
+from tidemark.llm import alignment, bpe, decontaminate, jaccard, paragraphs, periodic, permutations
+from tidemark.llm import pii, quality, substrings, tokens, toxicity, warc
 from tidemark.llm.base import table
 from tidemark.llm.oracles import ORACLES  # noqa: F401
 
@@ -82,6 +82,11 @@ def op5_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraphs.deduplicated(table(spark, sf_dir, "documents")).drop("removed")
 
 
+@query
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"), *map(path, alignment.TOKENIZERS))
+
+
 @query
 def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutations.search(table(spark, sf_dir, "embeddings"))
