@@ -9,9 +9,11 @@ from pathlib import Path
 import duckdb
 from pyspark.sql import SparkSession
 
-from checks.oracles import ORACLES
-from checks.registry import QUERIES
+from checks.job_oracles import JOB_ORACLES
+from checks.jobs import QUERIES
+from checks.oracles import ORACLES as PLAIN_ORACLES
 
+ORACLES = PLAIN_ORACLES | JOB_ORACLES
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"

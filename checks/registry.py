@@ -26,10 +26,10 @@ from tidemark.operators import (
     velocity,
 )
 from tidemark.plans import daily, insights
-from tidemark.schemas import DAY_PARTS, HOUR_PARTS, PULSE_GRAIN
+from tidemark.schemas import DAY_PARTS, HOUR_PARTS
 from tidemark.session import configure, new_stage_path
 from tidemark.sources import bronze, paths, tables
-from tidemark.streaming import sinks, source
+from tidemark.streaming import compaction, sinks, source
 
 QUERIES = {}
 
@@ -483,7 +483,7 @@ def anomaly_kind(spark, sf_dir):
 # --- documents and search -----------------------------------------------
 
 
-def _updates(spark, sf_dir):
+def updates(spark, sf_dir):
     """Two updates per key; half of the keys hit a stored document."""
     docs = feed.documents(spark, sf_dir)
     number = F.col("repo_id").cast("bigint")
@@ -506,18 +506,14 @@ def _updates(spark, sf_dir):
     )
 
 
-@query
-def upsert_docs(spark, sf_dir):
-    base = feed.documents(spark, sf_dir).withColumn(
-        "repo_name",
-        F.concat(
-            F.lit("src"),
-            (F.col("repo_id").cast("bigint") % 20).cast("string"),
-            F.lit("/doc-"),
-            F.col("repo_id"),
-        ),
-    )
-    merged = documents.upsert_docs(base, _updates(spark, sf_dir), F.col("seq"))
+def renamed_documents(spark, sf_dir):
+    """The documents under the names that ``updates`` uses."""
+    number = F.col("repo_id").cast("bigint")
+    name = F.concat(F.lit("src"), (number % 20).cast("string"), F.lit("/doc-"), F.col("repo_id"))
+    return feed.documents(spark, sf_dir).withColumn("repo_name", name)
+
+
+def merged_columns(merged):
     return merged.select(
         "date",
         "repo_name",
@@ -533,6 +529,12 @@ def upsert_docs(spark, sf_dir):
     )
 
 
+@query
+def upsert_docs(spark, sf_dir):
+    base = renamed_documents(spark, sf_dir)
+    return merged_columns(documents.upsert_docs(base, updates(spark, sf_dir), F.col("seq")))
+
+
 @query
 def cache_repo_insight(spark, sf_dir):
     """One generated text per document, from the document's own section."""
@@ -921,16 +923,27 @@ def stamp_and_key(spark, sf_dir):
     return keyed.join(decoded, "key")
 
 
-def _grain(spark, sf_dir):
-    """The pulse grain as a stored table, like the stream leaves it."""
+def grain_path(spark, sf_dir):
+    """The pulse table as three batches of a stream leave it, one of them written twice."""
     root = staged.root_of(spark, sf_dir)
 
     def build() -> None:
-        grain = pulse.pulse_grain(pulse.pulse_events(feed.nested_deliveries(spark, sf_dir)))
-        grain.write.parquet(f"{root}/grain")
+        arrived = feed.nested_deliveries(spark, sf_dir)
+        part = F.pmod(F.xxhash64("id", "_ingested_at"), F.lit(3))
+        for batch_id in (0, 1, 1, 2):
+            sinks.write_grain_batch(arrived.where(part == batch_id), batch_id, f"{root}/grain", "day")
 
     staged.once(root, "grain", build)
-    return spark.read.schema(PULSE_GRAIN).parquet(f"{root}/grain")
+    return f"{root}/grain"
+
+
+def _grain(spark, sf_dir):
+    return sinks.read_grain(spark, grain_path(spark, sf_dir))
+
+
+def _recent(spark, sf_dir, minutes):
+    """Grain of the folders that can hold the last minutes, and the newest minute."""
+    return compaction.recent_grain(spark, grain_path(spark, sf_dir), minutes, folder="day")
 
 
 @query
@@ -950,27 +963,32 @@ def minute_types(spark, sf_dir):
 
 @query
 def pulse_minutes(spark, sf_dir):
-    return pulse.pulse_minutes(_grain(spark, sf_dir))
+    grain, now = _recent(spark, sf_dir, pulse.WINDOW_MINUTES)
+    return pulse.pulse_minutes(grain, now)
 
 
 @query
 def pulse_totals(spark, sf_dir):
-    return pulse.pulse_totals(_grain(spark, sf_dir), minutes=24 * 60)
+    grain, now = _recent(spark, sf_dir, 24 * 60)
+    return pulse.pulse_totals(grain, now, minutes=24 * 60)
 
 
 @query
 def pulse_types(spark, sf_dir):
-    return pulse.pulse_types(_grain(spark, sf_dir), minutes=24 * 60)
+    grain, now = _recent(spark, sf_dir, 24 * 60)
+    return pulse.pulse_types(grain, now, minutes=24 * 60)
 
 
 @query
 def pulse_top(spark, sf_dir):
-    return pulse.pulse_top(_grain(spark, sf_dir), minutes=24 * 60)
+    grain, now = _recent(spark, sf_dir, 24 * 60)
+    return pulse.pulse_top(grain, now, minutes=24 * 60)
 
 
 @query
 def current_minute(spark, sf_dir):
-    return pulse.current_minute(_grain(spark, sf_dir))
+    grain, now = _recent(spark, sf_dir, 1)
+    return pulse.current_minute(grain, now)
 
 
 @query

@@ -5,9 +5,11 @@ from pathlib import Path
 import pytest
 
 from checks.compare import differences, duck
+from checks.job_oracles import JOB_ORACLES
+from checks.jobs import QUERIES
 from checks.oracles import ORACLES
-from checks.registry import QUERIES
 
+ORACLES = ORACLES | JOB_ORACLES
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
 

@@ -53,9 +53,9 @@ def render(text: str, values: Mapping[str, Column]) -> Column:
 
 
 def render_prompt(template: str, values: Mapping[str, Column]) -> tuple[Column, Column]:
-    """(system, user) prompt columns of a template."""
+    """(system, user) prompt columns of a template, both parts filled."""
     system, user = split_template(template)
-    return F.lit(system), render(user, values)
+    return render(system, values), render(user, values)
 
 
 def repo_insight_values() -> dict[str, Column]:

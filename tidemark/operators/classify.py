@@ -12,18 +12,32 @@ from tidemark.functions.prompts import extract_repo_section
 from tidemark.functions.responses import CATEGORIES, let
 from tidemark.operators.documents import KEY, only_unclassified, partial_upsert
 
-# Whole words of a lower-cased name or text, first match wins.
+# Whole words of a lower-cased name or text, first rule wins.
 NAME_WORDS = [
-    ("Other", "tests?|bots?|e2e"),
-    ("DevTools", "warp|n8n|zapier|mattpocock/skills"),
-    ("AI/ML", "llms?|neural|gpt|agents?|codex|nn-zero|diffusion|transformers?|machine-?learning"),
-    ("Infra", "kube|kubectl|kubernetes|docker|terraform|postgres|redis|kafka|grafana|cloud|spark"),
-    ("Web", r"react|nuxt|vue|svelte|tailwind|shadcn|django|next\.?js|https?"),
-    ("Game", "godot|unreal|unity|games?"),
-    ("DevTools", "cli|sdk|lint|linter|compiler|vscode|editor|build|plugins?"),
+    ("Other", "test tests bot bots e2e"),
+    ("DevTools", "warp n8n zapier mattpocock/skills"),
+    (
+        "AI/ML",
+        "llm llms neural gpt agent agents codex nn-zero diffusion transformer transformers"
+        " machinelearning machine-learning",
+    ),
+    ("Infra", "kube kubectl kubernetes docker terraform postgres redis kafka grafana cloud spark"),
+    ("Web", "react nuxt vue svelte tailwind shadcn django nextjs next.js http https"),
+    ("Game", "godot unreal unity game games"),
+    ("DevTools", "cli sdk lint linter compiler vscode editor build plugin plugins"),
 ]
-# letters and digits belong to a word; what separates words (also _ and -) does not
-NAME_RULES = [(category, rf"(?<![a-z0-9])({words})(?![a-z0-9])") for category, words in NAME_WORDS]
+# Letters and digits belong to a word; what separates words (also _ and -) does not.
+# A word of two parts is joined by JOINT before a text is split.
+JOINT = "\ue000"
+WORD_BREAK = f"[^a-z0-9{JOINT}]+"
+
+
+def joined(word: str) -> str:
+    return "".join(c if c.isalnum() else JOINT for c in word)
+
+
+WORD_OF = {joined(word): word for _, words in NAME_WORDS for word in words.split()}
+RULE_OF = {joined(word): rule for rule, (_, words) in enumerate(NAME_WORDS) for word in words.split()}
 
 CLASSIFIED = (
     "date string, repo_name string, category string, confidence double, reasoning string, failed boolean"
@@ -34,22 +48,34 @@ Classifier = Callable[[pd.DataFrame], pd.DataFrame]
 
 
 def _first_rule(text: Column, confidence: float) -> Column:
-    """struct<category, confidence, reasoning> of the first rule, or NULL."""
+    """struct<category, confidence, reasoning> of the first rule, or NULL.
 
-    def answer(lowered: Column) -> Column:
-        chosen = F.lit(None)
-        for category, pattern in reversed(NAME_RULES):
-            found = F.struct(
-                F.lit(category).alias("category"),
+    The text is split once and its words are met with those of all rules in
+    one pass; they keep the order of the text, so the first of a rule is its leftmost.
+    """
+
+    def lookup(values: dict) -> Column:
+        return F.create_map(*[F.lit(part) for pair in values.items() for part in pair])
+
+    def answer(found: Column) -> Column:
+        rules = F.transform(found, lambda word: F.element_at(lookup(RULE_OF), word))
+        rule = F.array_min(rules)
+        word = F.get(found, (F.array_position(rules, rule) - 1).cast("int"))
+        return F.when(
+            F.size(found) > 0,
+            F.struct(
+                F.get(F.array(*[F.lit(category) for category, _ in NAME_WORDS]), rule).alias("category"),
                 F.lit(confidence).alias("confidence"),
-                F.concat(F.lit("matched "), F.regexp_extract(lowered, pattern, 1)).alias(
-                    "reasoning"
-                ),
-            )
-            chosen = F.when(lowered.rlike(pattern), found).otherwise(chosen)
-        return chosen
-
-    return let(F.lower(F.coalesce(text, F.lit(""))), answer)
+                F.concat(F.lit("matched "), F.element_at(lookup(WORD_OF), word)).alias("reasoning"),
+            ),
+        )
+
+    prepared = F.replace(F.lower(F.coalesce(text, F.lit(""))), F.lit(JOINT), F.lit(" "))
+    for whole, word in WORD_OF.items():
+        if whole != word:
+            prepared = F.replace(prepared, F.lit(word), F.lit(whole))
+    words = F.array(*[F.lit(word) for word in RULE_OF])
+    return let(F.array_intersect(F.split(prepared, WORD_BREAK), words), answer)
 
 
 def keyword_category(repo_name: Column, excerpt: Column) -> Column:

@@ -11,6 +11,7 @@ from tidemark.functions.scalars import safe_double, safe_int
 from tidemark.operators.serving import by_score, top_rows
 from tidemark.schemas import DOC_CORE, DOCUMENT
 from tidemark.session import new_stage_path
+from tidemark.sources.paths import delete_path
 from tidemark.sources.tables import read_documents
 
 KEY = ["date", "repo_name"]
@@ -51,6 +52,7 @@ def partial_upsert(
     updates: DataFrame,
     present: Mapping[str, Column],
     seq: Column | None = None,
+    null_keys: bool = True,
 ) -> DataFrame:
     """Merge partial documents into ``base``; unknown keys are inserted.
 
@@ -58,13 +60,15 @@ def partial_upsert(
     carries them. A carried NULL overwrites; a field not carried keeps its
     old value. Several updates of a key are applied in ``seq`` order, by
     default worst rank first, then by their content: the result is one row per
-    key whatever the order of the rows. NULL is a key like any other.
+    key whatever the order of the rows. NULL is a key like any other; without
+    ``null_keys`` neither side has one, and a base in buckets of the key stays where it is.
     """
     folded = fold_updates(updates, present, default_order(updates) if seq is None else seq)
     renamed = folded.withColumnsRenamed({name: f"_new_{name}" for name in [*present, *KEY]})
     same = F.lit(True)
     for name in KEY:
-        same = same & F.col(name).eqNullSafe(F.col(f"_new_{name}"))
+        new = F.col(f"_new_{name}")
+        same = same & (F.col(name).eqNullSafe(new) if null_keys else F.col(name) == new)
     merged = base.withColumn("_stored", F.lit(True)).join(renamed, same, "full_outer")
 
     def value(field) -> Column:
@@ -79,7 +83,9 @@ def partial_upsert(
     return merged.select(*[value(field) for field in base.schema.fields])
 
 
-def upsert_docs(base: DataFrame, updates: DataFrame, seq: Column | None = None) -> DataFrame:
+def upsert_docs(
+    base: DataFrame, updates: DataFrame, seq: Column | None = None, null_keys: bool = True
+) -> DataFrame:
     """Merge ranked rows: core fields always win, even when NULL.
 
     The category block is only taken when the update has a category, its
@@ -93,7 +99,7 @@ def upsert_docs(base: DataFrame, updates: DataFrame, seq: Column | None = None)
     present["category_confidence"] = has_category
     present["category_reasoning"] = has_category & _filled(F.col("category_reasoning"))
     present["categorized_at"] = has_category
-    return partial_upsert(base, updates, present, seq)
+    return partial_upsert(base, updates, present, seq, null_keys)
 
 
 def documents_from_ranking(
@@ -250,6 +256,7 @@ def replace_documents(spark: SparkSession, root: str, documents: DataFrame) -> N
         .partitionBy("date")
         .parquet(f"{root}/documents")
     )
+    delete_path(spark, staged)
 
 
 def index_daily(spark: SparkSession, root: str, updates: DataFrame, date: str) -> None:

@@ -43,15 +43,22 @@ def repo_velocity(metrics: DataFrame, threshold: float = 3.0) -> DataFrame:
     A slot without a row is a slot with 0 stars. It adds nothing to the sum
     or the sum of squares, so range frames over the rows that exist give the
     zero-filled mean and population deviation without building empty slots.
+
+    A window group is one day of a repository, with a halo: the rows of the
+    day before that have stars, copied. So the history of a busy repository is
+    many groups, and a day can be computed from two days of input.
     """
     slot = F.floor(F.unix_micros(F.col("ts_5min").cast("timestamp")) / (SLOT_MINUTES * 60_000_000))
-    by_repo = W.partitionBy("repo_id").orderBy("slot")
+    by_repo = W.partitionBy("repo_id", "day").orderBy("slot")
     day_before = by_repo.rangeBetween(-SLOTS_PER_DAY, -1)
     hour_ago = by_repo.rangeBetween(-SLOTS_PER_HOUR, -SLOTS_PER_HOUR)
     stars = F.col("star_count")
 
     framed = (
         metrics.select("repo_id", "repo_name", "ts_5min", "star_count", slot.alias("slot"))
+        # 1 is the copy for the day after
+        .withColumn("halo", F.explode(F.when(stars > 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+        .withColumn("day", F.floor(F.col("slot") / SLOTS_PER_DAY) + F.col("halo"))
         .withColumns(
             {
                 "s1": F.coalesce(F.sum(stars).over(day_before), F.lit(0)),
@@ -59,6 +66,7 @@ def repo_velocity(metrics: DataFrame, threshold: float = 3.0) -> DataFrame:
                 "star_1h_ago": F.coalesce(F.sum(stars).over(hour_ago), F.lit(0)),
             }
         )
+        .where(F.col("halo") == 0)
     )
     n = SLOTS_PER_DAY
     mean = F.col("s1").cast("double") / n
@@ -72,7 +80,7 @@ def repo_velocity(metrics: DataFrame, threshold: float = 3.0) -> DataFrame:
             "anomaly_flag": F.coalesce(F.col("z_score") > threshold, F.lit(False)),
             "delta_stars_per_hour": (stars - F.col("star_1h_ago")) * SLOTS_PER_HOUR,
         }
-    ).drop("slot", "s1", "s2")
+    ).drop("slot", "halo", "day", "s1", "s2")
 
 
 def anomaly_kind(daily: DataFrame, bot_below: float = 0.2) -> DataFrame:

@@ -19,24 +19,26 @@ from tidemark.operators.documents import (
     index_daily,
     merge_categories,
     replace_documents,
+    upsert_docs,
 )
 from tidemark.operators.serving import rank_top, top_rows
 from tidemark.schemas import GOLD
 from tidemark.session import configure, new_stage_path
+from tidemark.sources.paths import delete_path
 from tidemark.sources.tables import overwrite_day, read_documents, read_gold, with_date_parts
 
 
-def _staged(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
-    """Rows written to the shared folder and read back."""
+def _staged(spark: SparkSession, rows: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Rows written to the shared folder and read back, and where they are."""
     path = new_stage_path(spark, name)
     rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return spark.read.schema(rows.schema).parquet(path), path
 
 
 def daily_insights(
     spark: SparkSession,
     root: str,
-    date: str,
+    date: str | None,
     insight_markdown: str | None = None,
     classifier: Classifier | None = None,
     n: int = 10,
@@ -45,8 +47,8 @@ def daily_insights(
 ) -> DataFrame:
     """Rank a day, add known categories, classify the rest, index the rows.
 
-    Returns the ranked rows with their categories; an empty ranking changes
-    nothing. The text is made by the caller's generator, see prompts.
+    Without a date all days of the marts are done at once (backfill). Returns
+    the ranked rows with their categories; an empty ranking changes nothing. The text is made by the caller's generator, see prompts.
     """
     configure(spark)
     ranked = rank_top(
@@ -59,7 +61,7 @@ def daily_insights(
         min_previous,
     )
     # n rows from here on: the marts are joined once
-    known = _staged(spark, merge_categories(ranked, read_documents(spark, root, date)), "ranked")
+    known, known_at = _staged(spark, merge_categories(ranked, read_documents(spark, root, date)), "ranked")
     if known.isEmpty():
         return known
     missing = known.where(F.col("category").isNull()).select(
@@ -71,7 +73,7 @@ def daily_insights(
         extract_repo_section(F.lit(insight_markdown).cast("string"), F.col("repo_name")).alias("excerpt"),
     )
     # a classifier may be costly and its answers may vary: run it once
-    answers = _staged(spark, classify_repos(missing, classifier), "answers")
+    answers, answers_at = _staged(spark, classify_repos(missing, classifier), "answers")
     rows = fill_missing_categories(
         known,
         answers.where(~F.col("failed")).select(
@@ -84,19 +86,26 @@ def daily_insights(
         ),
     )
     updates = documents_from_ranking(rows, F.lit(insight_markdown).cast("string"), utc_now())
-    index_daily(spark, root, updates, date)
+    # n rows a day; the parts they were made of are not needed any more
+    rows = spark.createDataFrame(rows.collect(), rows.schema) if date else _staged(spark, rows, "insights")[0]
+    if date is None:
+        replace_documents(spark, root, upsert_docs(read_documents(spark, root), updates))
+    else:
+        index_daily(spark, root, updates, date)
+    for path in (known_at, answers_at):
+        delete_path(spark, path)
     return rows
 
 
 def categorize_daily(
     spark: SparkSession,
     root: str,
-    date: str,
+    date: str | None,
     classifier: Classifier | None = None,
     force: bool = False,
     size: int | None = None,
-) -> dict[str, int | str]:
-    """Classify the documents of a date that have no category yet.
+) -> dict[str, int | str | None]:
+    """Classify the documents of a date (of all dates without one) that have no category yet.
 
     All of them by default; ``size`` keeps to the best ranked ones. The
     classifier runs once, into a staged table both the upsert and the
@@ -112,7 +121,7 @@ def categorize_daily(
     if total == 0:
         return {"date": date, "total": 0, "classified": 0, "skipped": 0, "errors": 0}
 
-    answers = _staged(
+    answers, answers_at = _staged(
         spark, classify_repos(unclassified_rows(chosen, force), classifier), "classified"
     )
     counted = answers.agg(
@@ -121,6 +130,7 @@ def categorize_daily(
     named = chosen.where(F.coalesce(F.col("repo_name") != "", F.lit(False))).count()
     if counted["classified"]:
         replace_documents(spark, root, apply_categories(docs, answers, utc_now()))
+    delete_path(spark, answers_at)
     return {
         "date": date,
         "total": total,

@@ -1,4 +1,4 @@
-"""Streaming jobs: raw landing, the pulse grain and a windowed pulse."""
+"""Streaming jobs: raw landing, rejects and the pulse grain."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from tidemark.operators.pulse import pulse_events, pulse_grain
 from tidemark.schemas import HOUR_PARTS, PULSE_GRAIN
 from tidemark.sources.bronze import partition_by_created_at
 from tidemark.sources.paths import path_exists
+from tidemark.streaming.health import with_progress
 from tidemark.streaming.source import readable, rejects
 
 EVERY_MINUTE = {"processingTime": "60 seconds"}
@@ -95,8 +96,9 @@ def pulse_sink(
     checkpoint: str,
     trigger: dict | None = None,
     folder: str = "hour",
+    progress: str | None = None,
 ) -> StreamingQuery:
-    """Keep the pulse grain up to date.
+    """Keep the pulse grain up to date; with ``progress`` also a row for each batch there.
 
     Each batch is reduced on its own and added up at read time, so there is
     no state to lose, late events still count and restarts add nothing twice.
@@ -109,7 +111,7 @@ def pulse_sink(
         write_grain_batch(batch, batch_id, path, folder, run)
 
     return (
-        events.writeStream.foreachBatch(store)
+        events.writeStream.foreachBatch(store if progress is None else with_progress(store, progress))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or EVERY_MINUTE))
         .start()
