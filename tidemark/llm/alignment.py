@@ -15,7 +15,7 @@ compose ``FAN`` neighbours each until one fragment is the whole text.
 Encoding is cut between two characters that are no white space and the single
 space between them. Neither A's splitter nor any piece of B's vocabulary
 reaches over such a place (the latter is checked when B is loaded), so parts
-are encoded alone, each distinct part once while it is cached.
+are encoded alone, each distinct part of a block of texts once.
 
 The corpus-wide count of a linked pair of ids is the number of documents that
 hold it. Documents are written in blocks with the pairs of the block summed
@@ -35,7 +35,7 @@ import hashlib
 import os
 import re
 from collections import Counter
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,8 +50,10 @@ TOKENIZERS = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 CHUNK_BYTES = 1 << 16
 FAN = 8
-BLOCK_BYTES = 8 << 20
-CACHED_PARTS = 200_000
+BLOCK_BYTES = 1 << 20
+ENCODED_AT_ONCE = 4000
+# pairs of a group that are made one by one
+LARGE_GROUP = 4096
 
 # characters that no version of Unicode calls white space
 SOLID = r"!-~\u00a1-\u167f\u2c00-\u2fff\u3001-\ud7ff"
@@ -137,6 +139,11 @@ class Fragment:
         return made
 
 
+def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, … counts[0] of them, then those of starts[1], …"""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+
+
 def pair_counts(groups: list, size_b: int) -> Counter:
     """How often each pair ``id of A * size_b + id of B`` is linked."""
     found = Counter()
@@ -167,8 +174,27 @@ def byte_level_alphabet() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+class Spelling:
+    """The byte strings of ids, in one array."""
+
+    def __init__(self, strings: list[bytes]):
+        self.data = np.frombuffer(b"".join(strings), np.uint8)
+        self.size = np.array([len(s) for s in strings], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+
+    def bytes_of(self, ids: np.ndarray) -> np.ndarray:
+        return self.data[spread(self.start[ids], self.size[ids])]
+
+
+class Encoded:
+    """Tokens of parts: ids, where the tokens of each part end, and which parts are spelled."""
+
+    def __init__(self, a: np.ndarray, upto_a: np.ndarray, b: np.ndarray, upto_b: np.ndarray, spelled: np.ndarray):
+        self.a, self.upto_a, self.b, self.upto_b, self.spelled = a, upto_a, b, upto_b, spelled
+
+
 class Aligner:
-    """Tokens and groups of parts of texts, by the tokenizers' own libraries."""
+    """Tokens of parts of texts, by the tokenizers' own libraries."""
 
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -179,70 +205,107 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         alphabet = byte_level_alphabet()
-        words = sorted(self.a.get_vocab().items(), key=lambda w: w[1])
-        self.bytes_a = {i: bytes(alphabet[c] for c in w) for w, i in words if all(c in alphabet for c in w)}
+        words = {i: w for w, i in self.a.get_vocab().items()}
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         if any("▁" in p.lstrip("▁") for p in pieces):
             raise ValueError("a piece holds a space after another character; parts can't be encoded alone")
-        self.bytes_b = [
-            bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
-            for i, p in enumerate(pieces)
-        ]
+        self.bytes_a = Spelling(
+            [bytes(alphabet.get(c, 0) for c in words.get(i, "")) for i in range(max(words) + 1)]
+        )
+        self.bytes_b = Spelling(
+            [
+                bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
+                for i, p in enumerate(pieces)
+            ]
+        )
         self.size_b = len(pieces)
-        self.forget()
-
-    def forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.tokens: list[tuple | None] = []  # of each part: ids and byte lengths of A and B
-        self.texts: list[bytes] = []  # its groups, spelled out
-        self.stats = np.zeros((0, 5), np.int64)  # n_a, n_b, n_groups, n_links, not spelled
-        self.pairs, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.upto = np.zeros(1, np.int64)  # where the pairs of each part end
-
-    def learn(self, parts: list[str]) -> np.ndarray:
-        """The place of each part; new ones are encoded."""
-        new = list({p: None for p in parts if p not in self.place})
-        for at in range(0, len(new), 20_000):
-            self._encode(new[at : at + 20_000])
-        return np.fromiter(map(self.place.__getitem__, parts), np.int64, len(parts))
-
-    def _encode(self, parts: list[str]) -> None:
-        stats, pairs, times, sizes = [], [], [], []
-        of_a = self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)
-        of_b = self.b.encode(parts, num_threads=1)
-        for part, a, b in zip(parts, of_a, of_b):
-            self.place[part] = len(self.tokens)
-            a, whole = a.ids, (" " + part).encode()
-            spelled_a = [self.bytes_a.get(i, b"") for i in a]
-            spelled_b = [self.bytes_b[i] for i in b]
-            if not part or b"".join(spelled_a) != whole or b"".join(spelled_b) != whole:
-                self.tokens.append(None)
-                self.texts.append(b"")
-                stats.append((0, 0, 0, 0, 1))
-                sizes.append(0)
-                continue
-            tokens = (a, list(map(len, spelled_a)), b, list(map(len, spelled_b)))
-            groups, _ = met(a, list(accumulate(tokens[1])), b, list(accumulate(tokens[3])))
-            links = pair_counts(groups, self.size_b)
-            self.tokens.append(tokens)
-            self.texts.append(spelled_groups(groups))
-            stats.append((len(a), len(b), len(groups), sum(links.values()), 0))
-            pairs += links.keys()
-            times += links.values()
-            sizes.append(len(links))
-        self.stats = np.vstack([self.stats, np.array(stats, np.int64).reshape(-1, 5)])
-        self.pairs = np.append(self.pairs, np.array(pairs, np.int64))
-        self.times = np.append(self.times, np.array(times, np.int64))
-        self.upto = np.append(self.upto, self.upto[-1] + np.cumsum(sizes, dtype=np.int64))
+        self.decimals = Spelling([b"%d," % i for i in range(max(len(pieces), max(words) + 1))])
+
+    def encoded(self, parts: list[str]) -> Encoded:
+        """The parts' tokens; each part is encoded with the space before it."""
+        of_a, of_b = [], []
+        for at in range(0, len(parts), ENCODED_AT_ONCE):
+            some = parts[at : at + ENCODED_AT_ONCE]
+            of_a += [e.ids for e in self.a.encode_batch_fast([" " + p for p in some], add_special_tokens=False)]
+            of_b += self.b.encode(some, num_threads=1)
+        whole = np.frombuffer((" " + " ".join(parts)).encode(), np.uint8)
+        size = np.array(pc.binary_length(pa.array(parts, pa.string())), np.int64) + 1
+        spelled, out = size > 1, []
+        for ids_of, table in ((of_a, self.bytes_a), (of_b, self.bytes_b)):
+            upto = np.append(0, np.cumsum([len(ids) for ids in ids_of], dtype=np.int64))
+            ids = np.fromiter(chain.from_iterable(ids_of), np.int64, upto[-1])
+            bytes_upto = np.append(0, np.cumsum(table.size[ids]))[upto]
+            spelled = spelled & (np.diff(bytes_upto) == size)
+            out += [ids, upto]
+        for ids, upto, table in ((*out[:2], self.bytes_a), (*out[2:], self.bytes_b)):
+            # parts of the right length, byte by byte
+            own = np.repeat(spelled, np.diff(upto))
+            bytes_in = np.repeat(spelled, size)
+            differs = np.flatnonzero(table.bytes_of(ids[own]) != whole[bytes_in])
+            part = np.repeat(np.arange(len(parts)), size)[bytes_in][differs]
+            spelled = spelled.copy()
+            spelled[part] = False
+        return Encoded(*out, spelled)
+
+
+class Aligned:
+    """Groups, links and spelled-out groups of each spelled part of ``encoded``."""
+
+    def __init__(self, known: Aligner, encoded: Encoded):
+        n = len(encoded.spelled)
+        size_a, size_b = (np.diff(u) * encoded.spelled for u in (encoded.upto_a, encoded.upto_b))
+        a = encoded.a[spread(encoded.upto_a[:-1], size_a)]
+        b = encoded.b[spread(encoded.upto_b[:-1], size_b)]
+        # ends in one count of bytes: the parts follow each other, and a part's end is common
+        ends_a, ends_b = np.cumsum(known.bytes_a.size[a]), np.cumsum(known.bytes_b.size[b])
+        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
+        n_a, n_b = (np.bincount(g, minlength=len(common)) for g in (group_a, group_b))
+        first_a, first_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+        part_of = np.repeat(np.arange(n), size_a)[first_a] if len(common) else np.zeros(0, np.int64)
+
+        # every token of A with every one of B in its group; large groups by their distinct ids
+        large = n_a * n_b > LARGE_GROUP
+        partners = np.where(large, 0, n_b)[group_a]
+        pair = np.repeat(a, partners) * known.size_b + b[spread(first_b[group_a], partners)]
+        part = np.repeat(part_of[group_a], partners)
+        times = np.ones(len(pair), np.int64)
+        for g in np.flatnonzero(large):
+            ids_a, ids_b = a[first_a[g] : first_a[g] + n_a[g]], b[first_b[g] : first_b[g] + n_b[g]]
+            counted = pair_counts([(ids_a.tolist(), ids_b.tolist())], known.size_b)
+            pair = np.append(pair, list(counted))
+            times = np.append(times, list(counted.values()))
+            part = np.append(part, np.full(len(counted), part_of[g]))
+        order = np.argsort(part, kind="stable")
+        self.pairs, self.times = pair[order], times[order]
+        self.upto = np.append(0, np.cumsum(np.bincount(part, minlength=n)))
+        n_links = np.bincount(part_of, weights=n_a * n_b, minlength=n).astype(np.int64)
+        n_groups = np.bincount(part_of, minlength=n)
+        self.stats = np.stack([size_a, size_b, n_groups, n_links, ~encoded.spelled], 1).astype(np.int64)
+
+        # tokens in the order of the text of groups, A before B, and what follows each
+        ids = np.empty(len(a) + len(b), np.int64)
+        at_a, at_b = np.arange(len(a)) + first_b[group_a], np.arange(len(b)) + (first_a + n_a)[group_b]
+        ids[at_a], ids[at_b] = a, b
+        text = known.decimals.bytes_of(ids)
+        ends = np.cumsum(known.decimals.size[ids])
+        text[ends[at_a[first_a + n_a - 1]] - 1] = ord("|")
+        text[ends[at_b[first_b + n_b - 1]] - 1] = ord(";")
+        upto, text = np.append(0, ends)[np.append(0, np.cumsum(size_a + size_b))].tolist(), text.tobytes()
+        self.texts = [text[i:j] for i, j in zip(upto, upto[1:])]
+
+
+def distinct(parts: list[str]) -> tuple[list[str], np.ndarray]:
+    """The different parts, and the place of each part among them."""
+    place: dict[str, int] = {}
+    at = np.fromiter((place.setdefault(p, len(place)) for p in parts), np.int64, len(parts))
+    return list(place), at
 
 
 def aligner(paths: tuple[str, str]) -> Aligner:
     if paths not in _aligners:
         _aligners[paths] = Aligner(*paths)
-    known = _aligners[paths]
-    if len(known.tokens) > CACHED_PARTS:
-        known.forget()
-    return known
+    return _aligners[paths]
 
 
 def list_array(values: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
@@ -270,23 +333,25 @@ def held_rows(block: int, ids, stats: np.ndarray, digests: list, bounds: np.ndar
 def align_block(known: Aligner, block: int, ids: list, texts: list[str]) -> pa.RecordBatch:
     """HELD rows of texts, each handled whole; null is empty."""
     parts = [CUT.split(t or "") for t in texts]
-    place = known.learn([p for of_text in parts for p in of_text])
     sizes = np.array([len(p) for p in parts], np.int64)
+    different, place = distinct([p for of_text in parts for p in of_text])
+    del parts
+    own = Aligned(known, known.encoded(different))
     text_of = np.repeat(np.arange(len(texts)), sizes)
     stats = np.zeros((len(texts), 5), np.int64)
-    np.add.at(stats, text_of, known.stats[place])
+    np.add.at(stats, text_of, own.stats[place])
     spelled = stats[:, 4] == 0
     stats[~spelled] = 0
-    digests, at = [], 0
+    digests, at, places = [], 0, place.tolist()
     for n, well in zip(sizes.tolist(), spelled.tolist()):
-        spelling = b";".join([known.texts[i] for i in place[at : at + n].tolist()]) if well else None
+        spelling = b"".join([own.texts[i] for i in places[at : at + n]])[:-1] if well else None
         digests.append(hashlib.sha256(spelling).hexdigest() if well else "")
         at += n
     kept = spelled[text_of]
     place, text_of = place[kept], text_of[kept]
-    counts = known.upto[place + 1] - known.upto[place]
-    source = np.repeat(known.upto[place] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
-    pairs, times, text_of = known.pairs[source], known.times[source], np.repeat(text_of, counts)
+    counts = own.upto[place + 1] - own.upto[place]
+    source = spread(own.upto[place], counts)
+    pairs, times, text_of = own.pairs[source], own.times[source], np.repeat(text_of, counts)
     # the pairs of a text, each once
     order = np.lexsort((pairs, text_of))
     pairs, times, text_of = pairs[order], times[order], text_of[order]
@@ -302,15 +367,14 @@ def align_whole(paths: tuple[str, str]):
     """Rows (doc_id, text) to HELD, in blocks of about ``BLOCK_BYTES``."""
 
     def run(batches):
-        known, number = aligner(paths), TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
             size = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
             block = size // BLOCK_BYTES
             for own in np.unique(block):
                 lo, hi = np.searchsorted(block, [own, own + 1])
                 part = batch.slice(lo, hi - lo)
-                known = aligner(paths)
-                yield align_block(known, number, part.column("doc_id").to_pylist(), part.column("text").to_pylist())
+                yield align_block(aligner(paths), number, part.column("doc_id").to_pylist(), part.column("text").to_pylist())
                 number += 1
 
     return run
@@ -353,12 +417,16 @@ def fragments(paths: tuple[str, str]):
         for batch in batches:
             for r in batch.to_pylist():
                 known, name = aligner(paths), {c: r[c] for c in ("row", "doc_id")}
-                tokens = [known.tokens[i] for i in known.learn(CUT.split(r["text"]))]
-                if None in tokens:
+                different, place = distinct(CUT.split(r["text"]))
+                of_part = known.encoded(different)
+                if not of_part.spelled.all():
                     yield from fragment_rows([name | NOTHING | {"at": r["at"]}]).to_batches()
                     continue
-                a, lengths_a, b, lengths_b = ([i for t in tokens for i in t[side]] for side in range(4))
-                ends_a, ends_b = r["at"] + np.cumsum(lengths_a), r["at"] + np.cumsum(lengths_b)
+                ids_a = of_part.a[spread(of_part.upto_a[place], np.diff(of_part.upto_a)[place])]
+                ids_b = of_part.b[spread(of_part.upto_b[place], np.diff(of_part.upto_b)[place])]
+                ends_a = r["at"] + np.cumsum(known.bytes_a.size[ids_a])
+                ends_b = r["at"] + np.cumsum(known.bytes_b.size[ids_b])
+                a, b = ids_a.tolist(), ids_b.tolist()
                 out = []
                 for at in range(r["at"] // CHUNK_BYTES * CHUNK_BYTES, int(ends_a[-1]), CHUNK_BYTES):
                     # the tokens that end in (at, at + CHUNK_BYTES]
