@@ -341,3 +341,22 @@ def test_archive_round_trip(spark):
 def test_url_keys_sort_by_host():
     assert warc.url_key("https://www.Example.com/a?b=c") == "com,example,www)/a?b=c"
     assert warc.url_key("http://h:8080") == "h:8080)/"
+
+
+def test_lookup_keeps_urls_apart_over_many_blocks(spark, monkeypatch):
+    """Control characters, one very frequent URL, very long html, more captures than a block holds."""
+    odd = ["http://a.b/x\ty", "http://a.b/xy", "http://a.b/z\n", "http://a.b/z", "http://a.b/%09\t", "http://a.b/\t%09", "http://a.b/%09%09"]
+    rows = [(i, url, f"odd {i}") for i, url in enumerate(odd)]
+    rows += [(100 + i, "http://hot.example/", f"body {i % 7}") for i in range(1500)]
+    rows += [(5000 + i, f"http://h{i % 9}.example/{i}", "x" * (300_000 if i == 3 else 5)) for i in range(1200)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    monkeypatch.setattr(warc, "GIVEN_BYTES", 1000)
+    store = warc.write_archive(table)
+    assert store.directory.count() > 4
+    asked = [*odd, "http://hot.example/", "http://h3.example/3", "http://a.b/none"]
+    got = store.lookup(spark.createDataFrame([(u,) for u in asked], "url string")).collect()
+    wanted = [(u, i) for i, u, _ in rows if u in asked]
+    assert sorted((r.url, r.page_id) for r in got) == sorted(wanted)
+    html = {i: h for i, _, h in rows}
+    assert all(r.html == html[r.page_id] for r in got if r.record_type == "response")
+    assert all(html[r.refers_to] == html[r.page_id] for r in got if r.record_type == "revisit")

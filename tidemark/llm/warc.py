@@ -16,6 +16,7 @@ Files are opened with pyarrow's file systems, so a store may be any URI they
 know, among them file:, hdfs: and s3:.
 
 Defined results: a null html is an empty payload and a null url an empty one;
+a url with control characters is percent-encoded in its record and looked up as given;
 pages without an id are written, never as the first of equal payloads unless
 none has an id (then all are responses); rows that repeat one page_id and
 payload are all of the same type; without pages the store is empty.
@@ -40,6 +41,8 @@ from tidemark.llm.base import new_path, stage
 
 BLOCK_LINES = 512
 FILE_BYTES = 64 << 20
+# bodies that a lookup holds before it gives them out
+GIVEN_BYTES = 8 << 20
 
 DIRECTORY = "file string, first string, last string, at bigint, length bigint, lines int"
 RECORDS = (
@@ -71,9 +74,19 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+def header_url(url: str) -> tuple[str, bool]:
+    """(the URL as a header can hold it, whether it is escaped): different URLs stay different.
+
+    A URL with control characters has them and its percent signs percent-encoded.
+    """
+    if all(c >= " " and c != "\x7f" for c in url):
+        return url, False
+    return "".join(c if c >= " " and c not in "%\x7f" else f"%{ord(c):02X}" for c in url), True
+
+
 def record(page_id: int | None, url: str, payload: bytes, sha1: str, first: int | None) -> bytes:
     """One WARC record as a gzip member; with ``first`` a revisit of that page."""
-    url = "".join(c for c in url if c >= " ")
+    url, escaped = header_url(url)
     fields = [
         ("WARC-Type", "response" if first is None else "revisit"),
         ("WARC-Record-ID", f"<urn:page:{'' if page_id is None else page_id}>"),
@@ -81,6 +94,8 @@ def record(page_id: int | None, url: str, payload: bytes, sha1: str, first: int
         ("WARC-Payload-Digest", f"sha1:{sha1}"),
         ("X-Payload-Length", str(len(payload))),
     ]
+    if escaped:
+        fields.append(("X-Target-URI-Escaped", "true"))
     body = payload
     if first is not None:
         fields += [
@@ -226,9 +241,9 @@ class Store:
         def run(batches):
             fs, path = opened(folder)
             for batch in batches:
-                out = []
+                out, size = [], 0
                 for r in batch.to_pylist():
-                    blocks = r["blocks"]
+                    blocks, wanted = r["blocks"], header_url(r["url"])
                     i = max(bisect.bisect_left([b["first"] for b in blocks], r["key"]) - 1, 0)
                     while i < len(blocks) and blocks[i]["first"] <= r["key"]:
                         if blocks[i]["last"] >= r["key"]:
@@ -236,18 +251,27 @@ class Store:
                             keys = [c[0] for c in lines]
                             for c in lines[bisect.bisect_left(keys, r["key"]) : bisect.bisect_right(keys, r["key"])]:
                                 fields, body = read_record(fs, f"{path}/{c[2]}", c[3], c[4])
-                                if fields["WARC-Target-URI"] == r["url"]:
+                                if (fields["WARC-Target-URI"], "X-Target-URI-Escaped" in fields) == wanted:
                                     out.append((r["url"], c[1], body.decode(), fields["WARC-Type"], refers(fields)))
+                                    size += len(body)
+                                if size >= GIVEN_BYTES:  # a URL with very many captures
+                                    yield found(out)
+                                    out, size = [], 0
                         i += 1
-                names = ["url", "page_id", "html", "record_type", "refers_to"]
-                kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]
-                columns = list(zip(*out)) or [()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+                yield found(out)
 
         kind = "url string, page_id bigint, html string, record_type string, refers_to bigint"
         return met.mapInArrow(run, kind)
 
 
+def found(rows: list[tuple]) -> pa.RecordBatch:
+    """Captures that a lookup gives out."""
+    names = ["url", "page_id", "html", "record_type", "refers_to"]
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+    columns = list(zip(*rows)) or [()] * 5
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+
 def read_range(fs, path: str, at: int, length: int) -> bytes:
     with fs.open_input_file(path) as file:
         return file.read_at(length, at)
