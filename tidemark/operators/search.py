@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.documents import KEY
+from tidemark.session import new_stage_path
+from tidemark.sources.paths import delete_path
 
 # Field weights, and the published BM25 constants.
 FIELD_BOOST = {"name": 2.0, "body": 1.0}
@@ -124,9 +126,22 @@ def search_documents(
 ) -> DataFrame:
     """The best documents themselves, with score, rank and the number of all hits.
 
-    The hits are ``size`` keys; their dates prune the folders of ``docs``.
+    The matches are scored once, into a stage that both the best ``size`` and
+    the total are read from. The dates of the hits prune the folders of ``docs``.
     """
-    hits = search(index, fields, query, size)
-    order = Window.orderBy(F.desc("score"), F.desc("date"), F.asc("repo_name"))
-    ranked = hits.withColumn("rank", F.row_number().over(order))  # of ``size`` rows
-    return ranked.crossJoin(search_total(index, fields, query)).join(docs, KEY)
+    spark = index.sparkSession
+    terms = query_tokens(spark, query)
+    top, total = [], 0
+    if terms:
+        staged = new_stage_path(spark, "hits")
+        scored = matches(index, fields, terms).withColumn("score", F.round("score", 9))
+        scored.write.parquet(staged)
+        scored = spark.read.schema(scored.schema).parquet(staged)
+        top = scored.orderBy(F.desc("score"), F.desc("date"), F.asc("repo_name")).limit(size).collect()
+        total = scored.count()
+        delete_path(spark, staged)
+    hits = spark.createDataFrame(
+        [(r.date, r.repo_name, r.score, rank, total) for rank, r in enumerate(top, 1)],
+        "date string, repo_name string, score double, rank int, total bigint",
+    )
+    return docs.where(F.col("date").isin(sorted({r.date for r in top}))).join(hits, KEY)
