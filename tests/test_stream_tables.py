@@ -63,13 +63,13 @@ def test_rows_behind_the_watermark_go_aside(spark, tmp_path):
     assert rows_of(dedup.read_deduplicated(spark, out), "id") == [("a",), ("b",), ("y",), ("z",)]
 
 
-def delivered(spark, n, seed, day="2024-01-15"):
+def delivered(spark, n, seed, day="2024-01-15", hours=24):
     rng = random.Random(seed)
     rows = [
         event(
             id=str(i), type=rng.choice(["PushEvent", "WatchEvent", None]), actor=rng.randrange(9),
             name=rng.choice(["o/a", "o/b", ""]),
-            _ingested_at=f"{day}T{rng.randrange(24):02d}:{rng.randrange(60):02d}:00Z",
+            _ingested_at=f"{day}T{rng.randrange(hours):02d}:{rng.randrange(60):02d}:00Z",
         )
         for i in range(n)
     ]
@@ -82,7 +82,7 @@ def grain_rows(frame):
 
 def test_folding_changes_no_rows(spark, tmp_path):
     path = str(tmp_path / "grain")
-    batches = {n: delivered(spark, 120, n) for n in range(4)}
+    batches = {n: delivered(spark, 120, n, hours=4) for n in range(3)}
     for n in (0, 1):
         sinks.write_grain_batch(batches[n], n, path)
     before = grain_rows(sinks.read_grain(spark, path))
@@ -96,7 +96,7 @@ def test_folding_changes_no_rows(spark, tmp_path):
     sinks.write_grain_batch(batches[2], 2, path)  # came late
     after = grain_rows(sinks.read_grain(spark, path))
     assert grain_rows(compaction.read_folded_grain(spark, path)) == after != before
-    for period in periods[:10]:
+    for period in periods[:2]:
         compaction.fold_period(spark, path, period, clean=True)
         assert compaction.batches_of(spark, path, period) == []
         assert len(compaction.files_of(spark, path, period)) == 1

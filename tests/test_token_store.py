@@ -79,8 +79,10 @@ def big(spark, tmp_path_factory):
     return path, index, search.field_stats(index)
 
 
-@pytest.mark.parametrize("query", ["the", "agent the", "rust snake_case naïve", "org7", "unknown the", "", "kit"])
-@pytest.mark.parametrize("first", [1, 16])
+@pytest.mark.parametrize(
+    "query,first",
+    [("the", 1), ("the", 16), ("agent the", 1), ("rust snake_case naïve", 4), ("org7", 1), ("unknown the", 1), ("", 1)],
+)
 def test_best_documents_are_those_of_a_full_search(spark, big, query, first):
     path, index, fields = big
     found = token_store.best_documents(spark, path, query, 20, first).collect()
