@@ -297,9 +297,8 @@ class Aligned:
 
 def distinct(parts: list[str]) -> tuple[list[str], np.ndarray]:
     """The different parts, and the place of each part among them."""
-    place: dict[str, int] = {}
-    at = np.fromiter((place.setdefault(p, len(place)) for p in parts), np.int64, len(parts))
-    return list(place), at
+    coded = pa.array(parts, pa.string()).dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
 
 
 def aligner(paths: tuple[str, str]) -> Aligner:
