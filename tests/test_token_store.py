@@ -112,3 +112,58 @@ def test_few_postings_are_read(spark, big, monkeypatch):
     token_store.best_documents(spark, path, "the", 5, first_slices=4)
     postings = index.where("token = 'the'").count()
     assert seen and sum(seen) < 0.8 * postings
+
+
+def shuffled_rows(frame):
+    """Rows that the exchanges of a frame's plan wrote."""
+    frame.collect()
+    plans, rows = [frame._jdf.queryExecution().executedPlan()], 0
+    while plans:
+        plan = plans.pop()
+        plans += [plan.children().apply(i) for i in range(plan.children().size())]
+        if plan.nodeName() == "Exchange":
+            rows += plan.metrics().apply("shuffleRecordsWritten").value()
+    return rows
+
+
+def test_an_update_shuffles_texts_not_postings(spark, tmp_path, monkeypatch):
+    rng = random.Random(8)
+    texts, path = texts_of(rng, 200, dates=3), str(tmp_path / "index")
+    seen, replace = {}, token_store._replace
+
+    def counted(rows, path, name, order):
+        seen[name] = shuffled_rows(rows)
+        replace(rows, path, name, order)
+
+    monkeypatch.setattr(token_store, "_replace", counted)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        token_store.update_token_index(corpus(spark, texts), path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    postings = token_store.read_table(spark, path, "postings").count()
+    assert postings > 4 * 2 * len(texts)
+    assert seen["postings"] == 2 * len(texts) and seen["bounds"] == 2 * len(texts)
+
+
+def test_a_slice_lies_in_one_file_sorted_by_token(spark, tmp_path, monkeypatch):
+    rng = random.Random(9)
+    texts, path = texts_of(rng, 300, dates=2), str(tmp_path / "index")
+    monkeypatch.setattr(token_store, "LEAST_TOKENS", 100)
+    token_store.update_token_index(corpus(spark, texts[:200]), path)
+    token_store.update_token_index(corpus(spark, texts), path)
+    files = sorted((tmp_path / "index" / "postings").rglob("*.parquet"))
+    slices = []
+    for file in files:
+        rows = spark.read.parquet(str(file)).select("token", "field", "slice").collect()
+        assert rows == sorted(rows)
+        slices += {(file.parent.name, r.field, r.slice) for r in rows}
+    assert len(files) > 2 and len(slices) == len(set(slices))
+
+
+def test_repeated_documents_add_up_as_in_a_full_build(spark, tmp_path):
+    texts = [("d1", "o/a", "x y x"), ("d1", "o/a", "x y x"), ("d1", "o/a", "x"), ("d2", "o/b", "-"), ("d2", "o/b", "z")]
+    path = str(tmp_path / "index")
+    token_store.update_token_index(corpus(spark, texts), path)
+    wanted = search.build_token_index(corpus(spark, texts))
+    assert rows_of(token_store.read_table(spark, path, "postings"), *wanted.columns) == rows_of(wanted)

@@ -21,7 +21,7 @@ SEPARATORS = r"[^\p{L}\p{N}_]+"
 def tokens(text: Column) -> Column:
     """Lower-case tokens of a whole text, in order."""
     parts = F.split(F.lower(F.coalesce(text, F.lit(""))), SEPARATORS)
-    return F.filter(parts, lambda token: token != "")
+    return F.array_remove(parts, "")
 
 
 def field_texts(docs: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Four tables below one path, all in date folders:
 
-* ``postings`` (field, token, slice, repo_name, tf, dl), sorted by (token, field, slice)
+* ``postings`` (field, token, slice, repo_name, tf, dl), in files of whole slices sorted by (token, field, slice)
 * ``bounds`` (field, token, slice, docs, max_tf, min_dl), one row per token and slice
 * ``lengths`` (field, docs, dl), sums of the date
 * ``texts`` (repo_name, field, content), a hash of every indexed text
@@ -15,14 +15,16 @@ without a date or a name have no key and are not indexed.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.documents import KEY
-from tidemark.operators.search import B, FIELD_BOOST, K1, build_token_index, field_texts, query_tokens
+from tidemark.operators.search import B, FIELD_BOOST, K1, field_texts, query_tokens, tokens
 from tidemark.session import new_stage_path
 from tidemark.sources.paths import delete_path, path_exists
 
@@ -33,6 +35,9 @@ SPREAD = 16
 FIRST_SLICES = 16
 # rows of a page of the postings: what a lookup skips is counted in pages
 PAGE_ROWS = 2000
+# tokens that one task splits and sorts into a file; a slice is never cut
+TASK_TOKENS = 1_000_000
+LEAST_TOKENS = 20_000
 
 TABLES = {
     "postings": "date string, field string, token string, slice int, repo_name string, tf bigint, dl bigint",
@@ -41,6 +46,11 @@ TABLES = {
     "texts": "date string, repo_name string, field string, content bigint",
 }
 TEXT = [*KEY, "field"]
+SLICE = ["date", "field", "slice"]
+# staged during an update
+WORDS = "date string, repo_name string, field string, dl bigint, words string, slice int"
+MASSES = "date string, field string, slice int, mass bigint"
+PARTS = "date string, field string, slice int, part int"
 
 
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -70,21 +80,74 @@ def changed_texts(stored: DataFrame, docs: DataFrame, whole_dates: bool) -> Data
     return joined.where(~F.col("content").eqNullSafe(F.col("was"))).select(*TEXT, "content")
 
 
-def postings_of(docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Postings of those documents that have a text in ``texts``, and of these texts only."""
-    touched = docs.join(texts.select(*KEY).distinct(), KEY, "left_semi")
-    index = build_token_index(touched).withColumn("slice", slice_of(F.col("dl")))
-    return index.join(texts.select(*TEXT), TEXT, "left_semi")
+def split_texts(docs: DataFrame, changed: DataFrame | None) -> DataFrame:
+    """(date, repo_name, field, dl, slice, words) of the texts of ``docs`` in ``changed``, or of all of them.
+
+    ``words`` are the text's tokens behind each other: a token holds no space.
+    """
+    texts = field_texts(docs)
+    if changed is not None:
+        texts = texts.join(changed.where("content IS NOT NULL").select(*TEXT), TEXT, "left_semi")
+    split = texts.select(*TEXT, tokens(F.col("text")).alias("tokens"))
+    words = split.select(*TEXT, F.size("tokens").cast("bigint").alias("dl"), F.array_join("tokens", " ").alias("words"))
+    return words.withColumn("slice", slice_of(F.col("dl")))
+
+
+def slice_masses(words: DataFrame, bounds: DataFrame) -> DataFrame:
+    """(date, field, slice, mass): the tokens and the stored postings of each slice."""
+    new = words.groupBy(*SLICE).agg(F.sum("dl").alias("mass"))
+    old = bounds.groupBy(*SLICE).agg(F.sum("docs").alias("mass"))
+    return new.unionByName(old).groupBy(*SLICE).agg(F.sum("mass").alias("mass"))
+
+
+def numbered_slices(masses: DataFrame) -> tuple[DataFrame, int]:
+    """(date, field, slice, part) and the number of parts: neighbouring slices of one date.
+
+    A part gets as many tokens as any other, however long its texts are.
+    """
+    spark = masses.sparkSession
+    sums = masses.groupBy("date").agg(F.sum("mass").alias("mass")).orderBy("date").collect()  # a row per date
+    share = max(sum(r.mass for r in sums) // spark.sparkContext.defaultParallelism, LEAST_TOKENS)
+    share, firsts, n = min(share, TASK_TOKENS), [], 0
+    for r in sums:
+        firsts.append((r.date, n))
+        n += -(-r.mass // share)
+    first = spark.createDataFrame(firsts, "date string, first int")
+    ahead = Window.partitionBy("date").orderBy("field", "slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("mass").over(ahead), F.lit(0))
+    part = (F.col("first") + F.floor(F.col("before") / share)).cast("int")
+    parts = masses.withColumn("before", before).join(F.broadcast(first), "date")
+    return parts.select(*SLICE, part.alias("part")), max(n, 1)
+
+
+def merged_postings(words: DataFrame, kept: DataFrame, parts: DataFrame, n: int) -> DataFrame:
+    """Postings of the split texts and the kept ones; each of the ``n`` parts in a partition of its own.
+
+    Texts are shuffled, not their postings: a part holds whole texts and slices,
+    so tokens are counted, and ``bounds_of`` taken, where they are.
+    """
+    none = {"words": "string", "token": "string", "tf": "bigint"}
+    rows = words.unionByName(kept, allowMissingColumns=True).select(
+        *TEXT, "dl", "slice", *[F.col(name).cast(kind) for name, kind in none.items()]
+    )
+    # a slice that an update that broke off did not count goes to the first part
+    placed = rows.join(parts, SLICE, "left").fillna(0, ["part"]).repartitionById(n, "part")
+    listed = F.coalesce(F.split("words", " "), F.array("token"))
+    listed = placed.select(
+        "part", *TEXT, "dl", "slice", F.coalesce("tf", F.lit(1)).alias("n"), F.explode(listed).alias("token")
+    )
+    return listed.groupBy("part", "field", "token", *KEY, "dl", "slice").agg(F.sum("n").alias("tf"))
 
 
 def bounds_of(postings: DataFrame) -> DataFrame:
-    return postings.groupBy("date", "field", "token", "slice").agg(
+    return postings.groupBy("part", "date", "field", "token", "slice").agg(
         F.count(F.lit(1)).alias("docs"), F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl")
     )
 
 
-def lengths_of(postings: DataFrame) -> DataFrame:
-    texts = postings.groupBy(*TEXT).agg(F.max("dl").alias("dl"))
+def lengths_of(words: DataFrame, kept: DataFrame) -> DataFrame:
+    rows = words.select(*TEXT, "dl").unionByName(kept.select(*TEXT, "dl"))
+    texts = rows.groupBy(*TEXT).agg(F.max("dl").alias("dl"))
     return texts.groupBy("date", "field").agg(F.count(F.lit(1)).alias("docs"), F.sum("dl").alias("dl"))
 
 
@@ -92,11 +155,23 @@ def _names(spark: SparkSession, name: str) -> list[str]:
     return T.StructType.fromDDL(TABLES[name]).fieldNames()
 
 
+@contextmanager
+def _one_date_a_task(spark: SparkSession) -> Iterator[None]:
+    """Tasks that write one date's folder need no sort by date before that of their rows."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _replace(rows: DataFrame, path: str, name: str, order: list[str]) -> None:
     """Overwrite the date folders that ``rows`` covers."""
     (
-        rows.select(*_names(rows.sparkSession, name))
-        .sortWithinPartitions("date", *order)
+        rows.sortWithinPartitions(*order)
+        .select(*_names(rows.sparkSession, name))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("parquet.page.row.count.limit", PAGE_ROWS)
@@ -128,24 +203,31 @@ def update_token_index(docs: DataFrame, path: str, whole_dates: bool = False) ->
         return {"texts": 0, "dates": 0}
 
     in_touched = F.col("date").isin(list(touched))
-    new = postings_of(docs.where(in_touched), changed.where("content IS NOT NULL"))
+    split = new_stage_path(spark, "words")
+    # where nothing is stored, every text is new
+    known = changed if path_exists(spark, f"{path}/texts") else None
+    split_texts(docs.where(in_touched), known).write.parquet(split)
+    # a filter before the stage would be pushed down and split every text twice
+    words = spark.read.schema(WORDS).parquet(split).where("dl > 0")
+    # read before postings and bounds are replaced, so the postings are replaced last
     kept = read_table(spark, path, "postings").where(in_touched).join(changed, TEXT, "left_anti")
-    rewritten = new_stage_path(spark, "postings")
-    new.unionByName(kept).write.parquet(rewritten)
-    postings = spark.read.schema(TABLES["postings"]).parquet(rewritten)
-
-    # ranges of these columns cut a very common token into several files
-    placed = postings.repartitionByRange("date", "token", "field", "slice", "repo_name")
-    _replace(placed, path, "postings", ["token", "field", "slice"])
-    _replace(bounds_of(postings).hint("rebalance", "date"), path, "bounds", ["token"])
-    _replace(lengths_of(postings).hint("rebalance", "date"), path, "lengths", [])
+    counted = new_stage_path(spark, "slices")
+    slice_masses(words, read_table(spark, path, "bounds").where(in_touched)).write.parquet(f"{counted}/masses")
+    parts, n = numbered_slices(spark.read.schema(MASSES).parquet(f"{counted}/masses"))
+    parts.write.parquet(f"{counted}/parts")  # read with its size, so texts are not shuffled to it
+    postings = merged_postings(words, kept, spark.read.schema(PARTS).parquet(f"{counted}/parts"), n)
+
+    _replace(lengths_of(words, kept).hint("rebalance", "date"), path, "lengths", ["date"])
+    with _one_date_a_task(spark):
+        _replace(bounds_of(postings), path, "bounds", ["token"])
+        _replace(postings, path, "postings", ["token", "field", "slice"])
     texts = stored.where(in_touched).join(changed, TEXT, "left_anti")
     texts = texts.unionByName(changed.where("content IS NOT NULL"))
     hashed = new_stage_path(spark, "texts")
     texts.write.parquet(hashed)
-    _replace(spark.read.schema(TABLES["texts"]).parquet(hashed).hint("rebalance", "date"), path, "texts", [])
+    _replace(spark.read.schema(TABLES["texts"]).parquet(hashed).hint("rebalance", "date"), path, "texts", ["date"])
     _drop_emptied(spark, path, list(touched), hashed)
-    for at in (staged, rewritten, hashed):
+    for at in (staged, split, counted, hashed):
         delete_path(spark, at)
     return {"texts": sum(touched.values()), "dates": len(touched)}
 
