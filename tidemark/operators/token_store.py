@@ -209,8 +209,9 @@ def update_token_index(docs: DataFrame, path: str, whole_dates: bool = False) ->
     split_texts(docs.where(in_touched), known).write.parquet(split)
     # a filter before the stage would be pushed down and split every text twice
     words = spark.read.schema(WORDS).parquet(split).where("dl > 0")
-    # read before postings and bounds are replaced, so the postings are replaced last
-    kept = read_table(spark, path, "postings").where(in_touched).join(changed, TEXT, "left_anti")
+    rest = new_stage_path(spark, "postings")  # three tables are made from them
+    read_table(spark, path, "postings").where(in_touched).join(changed, TEXT, "left_anti").write.parquet(rest)
+    kept = spark.read.schema(TABLES["postings"]).parquet(rest)
     counted = new_stage_path(spark, "slices")
     slice_masses(words, read_table(spark, path, "bounds").where(in_touched)).write.parquet(f"{counted}/masses")
     parts, n = numbered_slices(spark.read.schema(MASSES).parquet(f"{counted}/masses"))
@@ -227,7 +228,7 @@ def update_token_index(docs: DataFrame, path: str, whole_dates: bool = False) ->
     texts.write.parquet(hashed)
     _replace(spark.read.schema(TABLES["texts"]).parquet(hashed).hint("rebalance", "date"), path, "texts", ["date"])
     _drop_emptied(spark, path, list(touched), hashed)
-    for at in (staged, split, counted, hashed):
+    for at in (staged, split, rest, counted, hashed):
         delete_path(spark, at)
     return {"texts": sum(touched.values()), "dates": len(touched)}
 
